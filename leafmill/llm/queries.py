@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("packing", "sharding")
+MODULES = ("toxicity", "sharding", "tokens", "packing", "pii")
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
