@@ -105,10 +105,11 @@ class Pseudonyms:
         r"|(?P<ymd>\d{4}([-/.])\d{1,2}\3\d{1,2}(?!\d))"
         r"|(?P<dmy>\d{1,2}([-/.])\d{1,2}\5\d{4}(?!\d))"
         r"|(?P<ssn>\d{3}-\d{2}-\d{4}(?![\d-]))"
-        r"|(?P<card>\d(?:[ -]?\d){12,18}(?![\d-]))"
+        r"|(?P<card>\d{13,19}(?!\d)|\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{4}(?!\d)|\d{4}(?P<gap2>[ -])\d{6}(?P=gap2)\d{5}(?!\d))"
         r"|(?P<named>\d{1,2} (?:January|February|March|April|May|June|July|August|September|October|November|December) \d{4}(?!\d))"
-        r"|(?P<phone>(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?![\d-])|\+\d{8,15}(?!\d))"
+        r"|(?P<phone>(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?!\d)|\+\d{8,15}(?!\d))"
     )
+    KINDS = ("ipv4", "ymd", "dmy", "ssn", "card", "named", "phone")
     IBAN = re.compile(r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b")
     EMAIL = re.compile(r"[A-Za-z0-9_][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
     SECRET = re.compile(r"AKIA[A-Z0-9]{16}(?![A-Z0-9])|(?:password|passwd|pwd|secret|token|api_?key)[\"']?\s*[=:]\s*[\"']?([A-Za-z0-9+/_.-]{8,})", re.I)
@@ -264,7 +265,7 @@ class Pseudonyms:
                     at += 1
             else:
                 size = len(spans)
-                found(m.lastgroup, a, b, m[0])
+                found(next(k for k in self.KINDS if m[k]), a, b, m[0])
                 at = b
                 if len(spans) == size:  # not valid: go on behind its first run of digits
                     at = a + 1
