@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("toxicity", "sharding", "tokens", "packing", "pii")
+MODULES = ("toxicity", "sharding", "tokens", "packing", "pii", "minhash")
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
