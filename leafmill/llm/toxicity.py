@@ -125,26 +125,29 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return np.frombuffer(made.w, np.float32), made.b
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, the columns of `keep`, and score: the chance of label 1."""
+def score(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns of `keep` and _lm_score: the chance of label 1."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    d = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("_lm_text"), *[F.col(c).alias(f"_lm_{i}") for i, c in enumerate(keep)])
+    cols = [*keep, *([] if text_col in keep else [text_col])]
+    d = docs.select(*[F.col(c).alias(f"_lm_{i}") for i, c in enumerate(cols)])
+    at, n = cols.index(text_col), len(keep)
+    kinds = [f"{c} {t}" for c, t in d.dtypes[:n]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight, b0 = shared.value
         for b in batches:
-            z = np.array([evidence(t.as_py() or "", weight) for t in b.column(1)], float) + b0
+            z = np.array([evidence(t.as_py() or "", weight) for t in b.column(at)], float) + b0
             p = 1 / (1 + np.exp(-np.clip(z, -60, 60)))
-            yield pa.RecordBatch.from_arrays([b.column(0), *b.columns[2:], pa.array(p, pa.float64())], ["doc_id", *(f"_lm_{i}" for i in range(len(keep))), "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array(p, pa.float64())], [*b.schema.names[:n], "_lm_score"])
 
-    kinds = dict(d.dtypes)
-    out = d.mapInArrow(run, ", ".join(["doc_id " + kinds["doc_id"], *(f"_lm_{i} {kinds[f'_lm_{i}']}" for i in range(len(keep))), "score double"]))
-    return out.select("doc_id", *[F.col(f"_lm_{i}").alias(c) for i, c in enumerate(keep)], "score")
+    out = d.mapInArrow(run, ", ".join([*kinds, "_lm_score double"]))
+    return out.select(*[F.col(f"_lm_{i}").alias(c) for i, c in enumerate(keep)], "_lm_score")
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     out = score(docs, train(docs, table(spark, sf_dir, "labels")))
+    out = out.withColumnRenamed("_lm_score", "score")
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
     return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
