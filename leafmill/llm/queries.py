@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("toxicity", "sharding", "tokens", "packing", "pii", "minhash", "mixing", "html_text")
+MODULES = ("toxicity", "sharding", "tokens", "packing", "pii", "minhash", "mixing", "html_text", "itq", "hilbert")
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
