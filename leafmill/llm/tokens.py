@@ -1,17 +1,19 @@
-"""Token counts: unigram best segmentation with a trie that shares forward scores between pre-tokens.
+"""Token counts: unigram best segmentation over a trie that shares forward scores between pre-tokens.
 
-Pre-tokens are a word mark and a run without white space. A partition inserts its distinct pre-tokens into a trie; a
-node holds the forward score (best score of any segmentation of its prefix, and that segmentation's token count), so a
-prefix shared by many pre-tokens is scored once, and a terminal keeps its count. A document's count is the sum over its
-pre-tokens. The trie and the terminal table are emptied when they reach `most_nodes` or `most_words`: that bounds memory
-and changes no count. No shuffle is needed, whatever the number of distinct pre-tokens in the corpus.
+Pre-tokens are a word mark and a run without white space. The distinct pre-tokens of a batch are inserted in the order
+in which a depth-first walk meets their trie's terminals, so the trie is never held whole: `Trie.path` is the line of
+nodes from the root to the pre-token at hand, a node is the forward score of its prefix (best score of any segmentation,
+with its token count), and inserting a pre-token keeps the nodes of the prefix that it shares and scores the others once.
+Terminals keep their counts in a table from batch to batch and task to task, emptied when it holds `most_words`: that
+bounds memory and changes no count. A document's count is the sum over its pre-tokens. No shuffle is needed, whatever
+the number of distinct pre-tokens in the corpus.
 
 Scores are integers (millionths of a nat), so that sums are exact; a segmentation of equal score with fewer tokens wins.
 A piece at rank r of the public vocabulary has probability proportional to 1 / (r + 2); a character outside it costs a
 token for each of its UTF-8 bytes, each dearer than any piece.
 
-Defined cases: null and empty texts count 0; repeated rows count each; very long runs are scored without being kept in
-the trie; an empty table gives no row; other columns are ignored.
+Defined cases: null and empty texts count 0; repeated rows count each; very long runs take linear time; an empty table
+gives no row; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,11 +30,33 @@ from .common import table
 MARK = "▁"
 
 
+#: A forward score and its token count as one integer: score << SHIFT minus the count. Larger is better.
+SHIFT = 40
+
+
 class Lexicon:
     """Pieces with integer scores."""
 
-    def __init__(self, scores: dict[str, int], byte: int) -> None:
-        self.scores, self.byte, self.longest = scores, byte, max(map(len, scores), default=1)
+    def __init__(self, scores: dict[str, int], byte: int, most: int = 200_000) -> None:
+        self.scores, self.byte, self.most = scores, byte, most
+        self.steps = {p: (s << SHIFT) - 1 for p, s in scores.items()}
+        self.lengths: dict[str, set[int]] = {}
+        for p in scores:
+            if len(p) > 3:
+                self.lengths.setdefault(p[-3:], set()).add(len(p))
+        self.known: dict[str, tuple] = {}
+
+    def ends(self, last: str) -> tuple:
+        """For up to three last characters: steps of the pieces of 1, 2 and 3 of them, and lengths of longer pieces."""
+        if len(self.known) >= self.most:
+            self.known.clear()
+        one = self.steps.get(last[-1])
+        if one is None:
+            n = len(last[-1].encode("utf-8", "surrogatepass"))
+            one = n * ((self.byte << SHIFT) - 1)
+        out = (one, self.steps.get(last[-2:]) if len(last) > 1 else None, self.steps.get(last) if len(last) > 2 else None, tuple(sorted(self.lengths.get(last, ()))))
+        self.known[last] = out
+        return out
 
     @classmethod
     def public(cls, path: str | None = None) -> Lexicon:
@@ -48,75 +72,83 @@ class Lexicon:
 
 
 class Trie:
-    """Nodes are [score, tokens, children or None]; the root's prefix is empty."""
-
-    def __init__(self, lexicon: Lexicon, most_nodes: int = 400_000, most_words: int = 300_000, deepest: int = 64) -> None:
-        self.lexicon, self.most_nodes, self.most_words, self.deepest = lexicon, most_nodes, most_words, deepest
-        self.clear()
-
-    def clear(self) -> None:
-        self.root, self.nodes, self.counts = [0, 0, None], 0, {}
-
-    def step(self, path: list, word: str, i: int) -> list:
-        """Node of the first i characters, from the nodes of the shorter prefixes."""
-        scores, best, tokens = self.lexicon.scores, None, 0
-        for k in range(max(0, i - self.lexicon.longest), i):
-            if (s := scores.get(word[k:i])) is not None:
-                n = path[k]
-                v, t = n[0] + s, n[1] + 1
-                if best is None or v > best or (v == best and t < tokens):
-                    best, tokens = v, t
-        if word[i - 1] not in scores:
-            n, b = path[i - 1], len(word[i - 1].encode("utf-8", "surrogatepass"))
-            v, t = n[0] + b * self.lexicon.byte, n[1] + b
-            if best is None or v > best or (v == best and t < tokens):
-                best, tokens = v, t
-        return [best, tokens, None]
+    """The line of nodes down to the last inserted pre-token, and the terminals' counts."""
+
+    def __init__(self, lexicon: Lexicon, most_words: int = 500_000) -> None:
+        self.lexicon, self.most_words, self.counts = lexicon, most_words, {}
+        self.word, self.path = "", [0]
 
     def insert(self, word: str) -> int:
-        """Tokens of a pre-token; its new prefixes are scored and kept."""
-        if len(word) > self.deepest:
-            path = [[0, 0, None]]
-            for i in range(1, len(word) + 1):
-                path.append(self.step(path, word, i))
-            return path[-1][1]
-        node, path = self.root, [self.root]
-        for i, ch in enumerate(word, 1):
-            if node[2] is None:
-                node[2] = {}
-            child = node[2].get(ch)
-            if child is None:
-                child = node[2][ch] = self.step(path, word, i)
-                self.nodes += 1
-            path.append(child)
-            node = child
-        return node[1]
-
-    def total(self, words: list[str], slice_words: int = 50_000) -> int:
-        """Tokens of many pre-tokens, given without their mark."""
-        n = 0
-        for at in range(0, len(words), slice_words):
-            some = words[at : at + slice_words]
-            if len(self.counts) >= self.most_words or self.nodes >= self.most_nodes:
-                self.clear()
-            for w in set(some).difference(self.counts):
-                self.counts[w] = self.insert(MARK + w)
-            n += sum(map(self.counts.__getitem__, some))
-        return n
+        """Tokens of a pre-token."""
+        path, last, shared = self.path, self.word, 0
+        for a, b in zip(word, last):
+            if a != b:
+                break
+            shared += 1
+        del path[shared + 1 :]
+        steps, known, ends = self.lexicon.steps.get, self.lexicon.known.get, self.lexicon.ends
+        for i in range(shared + 1, len(word) + 1):
+            tail = word[i - 3 : i] if i > 2 else word[:i]
+            one, two, three, longer = known(tail) or ends(tail)
+            best = path[i - 1] + one
+            if two is not None and (v := path[i - 2] + two) > best:
+                best = v
+            if three is not None and (v := path[i - 3] + three) > best:
+                best = v
+            for n in longer:
+                if n > i:
+                    break
+                if (s := steps(word[i - n : i])) is not None and (v := path[i - n] + s) > best:
+                    best = v
+            path.append(best)
+        self.word = word
+        return -path[-1] & ((1 << SHIFT) - 1)
+
+    def insert_all(self, words: set[str]) -> None:
+        """Words, without their mark, into the table of terminals."""
+        if len(self.counts) + len(words) > self.most_words:
+            self.counts.clear()
+        new = sorted(words.difference(self.counts))
+        insert = self.insert
+        self.counts.update(zip(new, [insert(MARK + w) for w in new]))
+
+    def totals(self, texts: list[list[str]], slice_words: int = 200_000) -> list[int]:
+        """Tokens of texts given as lists of words."""
+        out, at = [0] * len(texts), 0
+        while at < len(texts):
+            end, n = at, 0
+            while end < len(texts) and (n == 0 or n + len(texts[end]) <= slice_words):
+                n += len(texts[end])
+                end += 1
+            for k in range(0, max(n, 1), slice_words):  # over once only for a text of more words than a slice
+                some = [t[k : k + slice_words] for t in texts[at:end]] if n > slice_words else texts[at:end]
+                self.insert_all(set().union(*some))
+                for i, t in enumerate(some, at):
+                    out[i] += sum(map(self.counts.__getitem__, t))
+            at = end
+        return out
+
+
+#: A Python worker keeps its trie from task to task.
+_TRIES: dict[str | None, Trie] = {}
+
+
+def _trie(path: str | None) -> Trie:
+    if path not in _TRIES:
+        _TRIES[path] = Trie(Lexicon.public(path))
+    return _TRIES[path]
 
 
 def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:
     """(doc_id, n_words, n_tokens) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = Trie(Lexicon.public(path))
+        trie = _trie(path)
         for b in batches:
-            words, tokens = [], []
-            for text in b.column(1):
-                found = (text.as_py() or "").split()
-                words.append(len(found))
-                tokens.append(trie.total(found))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(words, pa.int64()), pa.array(tokens, pa.int64())], ["doc_id", "n_words", "n_tokens"])
+            for at in range(0, b.num_rows, 512):
+                ids, texts = b.column(0).slice(at, 512), b.column(1).slice(at, 512)
+                words = [(t or "").split() for t in texts.to_pylist()]
+                yield pa.RecordBatch.from_arrays([ids, pa.array(map(len, words), pa.int64()), pa.array(trie.totals(words), pa.int64())], ["doc_id", "n_words", "n_tokens"])
 
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return d.mapInArrow(run, "doc_id long, n_words long, n_tokens long")
