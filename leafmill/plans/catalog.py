@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-FAMILIES = ("page_queries",)
+FAMILIES = ("page_queries", "table_queries")
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}

@@ -38,7 +38,7 @@ def v_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 V_ROW = """v_line AS (
   SELECT l_orderkey AS table_id, (l_orderkey % 7 + 1)::int AS page,
-         row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate, l_quantity) AS rn,
+         (row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate, l_quantity))::int AS rn,
          CASE WHEN l_suppkey % 9 = 0 THEN list_slice(c, 1, 3) ELSE c END AS cells
   FROM (SELECT *, ['P' || l_partkey, l_quantity::decimal(18,2)::varchar, CASE WHEN l_partkey % 5 = 0 THEN '' ELSE l_extendedprice::decimal(18,2)::varchar END, l_discount::decimal(18,2)::varchar] AS c FROM lineitem)),
 v_row AS (SELECT table_id, page, rn AS idx, cells FROM v_line UNION ALL SELECT table_id, page, 0, cells FROM v_line WHERE rn = 1)"""
