@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def bbox(polygons: Column) -> Column:
     """[x0, y0, x1, y1] around polygons (arrays of points); points without two coordinates are dropped; none gives zeros."""
     points = F.filter(F.flatten(polygons), lambda p: F.size(p) >= 2)
-    x, y = (F.transform(points, lambda p, k=k: F.get(p, F.lit(k))) for k in (0, 1))
+    x, y = F.transform(points, lambda p: F.get(p, F.lit(0))), F.transform(points, lambda p: F.get(p, F.lit(1)))
     box = F.array(F.array_min(x), F.array_min(y), F.array_max(x), F.array_max(y))
     return F.when(F.size(points) > 0, box).otherwise(F.array(*[F.lit(0.0)] * 4))
 

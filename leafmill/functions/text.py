@@ -201,6 +201,12 @@ def is_code(c: Column) -> Column:
     return c.rlike(r"^[A-Za-z][A-Za-z0-9\-]{0,11}$") & ~unitish & ~((digits == 0) & (letters <= 1)) & (upper / letters >= 0.5)
 
 
+def is_json_object(c: Column) -> Column:
+    """Whether a text is one JSON object: the parser stops behind a value, so the text is read as the only item of a list."""
+    listed = F.try_parse_json(F.concat(F.lit("["), c, F.lit("]")))
+    return F.coalesce(F.ltrim(c).startswith("{") & listed.isNotNull() & F.try_variant_get(listed, "$[1]", "variant").isNull(), F.lit(False))
+
+
 def salvage_json(c: Column) -> Column:
     """The JSON object of a model's answer: all of it, a fenced block, or from the first to the last brace; else null."""
     t = F.trim(blank(c))
@@ -208,6 +214,6 @@ def salvage_json(c: Column) -> Column:
     braces = F.regexp_extract(t, r"(?s)\{.*\}", 0)
 
     def whole(x: Column) -> Column:
-        return F.when(F.ltrim(x).startswith("{") & F.try_parse_json(x).isNotNull(), x)
+        return F.when(is_json_object(x), x)
 
     return F.coalesce(whole(t), whole(fence), whole(braces))
