@@ -1 +1 @@
-"""plans."""
+"""Derived inputs, registered queries and their SQL."""

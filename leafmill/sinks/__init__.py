@@ -1 +1 @@
-"""sinks."""
+"""Writers."""

@@ -1 +1 @@
-"""sources."""
+"""Readers under explicit schemas."""

@@ -1 +1 @@
-"""streaming."""
+"""Incremental runs as streams."""
