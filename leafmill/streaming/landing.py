@@ -46,5 +46,5 @@ def page_routes(batch: DataFrame) -> DataFrame:
 
 def event_counts(spark: SparkSession, path: str, schema: str, late: str = "10 minutes", window: str = "1 hour") -> DataFrame:
     """Counts of events by window and type; rows later than the watermark are left out."""
-    s = spark.readStream.schema(schema).parquet(path)
+    s = spark.readStream.schema(schema).parquet(path).withColumn("ts", F.col("ts").cast("timestamp"))
     return s.withWatermark("ts", late).groupBy(F.window("ts", window), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))

@@ -119,5 +119,5 @@ def test_event_windows(spark, tmp_path):
     q = L.event_counts(spark, f"{tmp_path}/e", schema).writeStream.format("memory").queryName("counts").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination()
     assert spark.sql("select sum(n) from counts").first()[0] == e.count()
-    want = {(r.w, r.event_type, r.n) for r in e.groupBy(F.date_trunc("hour", "ts").alias("w"), "event_type").agg(F.count("*").alias("n")).collect()}
+    want = {(r.w, r.event_type, r.n) for r in e.groupBy(F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("w"), "event_type").agg(F.count("*").alias("n")).collect()}
     assert {(r.w, r.event_type, r.n) for r in spark.sql("select window.start w, event_type, n from counts").collect()} == want
