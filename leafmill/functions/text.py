@@ -35,9 +35,10 @@ def squeeze(c: Column) -> Column:
 
 def cell_text(c: Column) -> Column:
     """Table cell: math marks dropped, Greek names as letters, line breaks as spaces."""
-    t = F.regexp_replace(blank(c), r"\\\(|\\\)|\$", " ")
+    t = greek = F.regexp_replace(blank(c), r"\\\(|\\\)|\$", " ")
     for name, letter in GREEK.items():
-        t = F.regexp_replace(t, rf"\\{name}(?![A-Za-z])", letter)
+        greek = F.regexp_replace(greek, rf"\\{name}(?![A-Za-z])", letter)
+    t = F.when(F.contains(t, F.lit("\\")), greek).otherwise(t)  # most cells have no name to look for
     t = F.regexp_replace(F.regexp_replace(t, r"[{}]", ""), r"<br ?/?>", " ")
     return squeeze(t)
 

@@ -120,9 +120,10 @@ def keyword_topics(text: Column, most: int = 8) -> Column:
 def window_context(tables: DataFrame, pages: DataFrame, window: int = 1) -> DataFrame:
     """tables (doc, table_id, page) with the text lengths and joined first words of pages within the window: an equi join on exploded pages."""
     near = tables.select("doc", "table_id", F.explode(F.sequence(F.greatest(F.col("page") - window, F.lit(1)), F.col("page") + window)).alias("page"))
-    j = near.join(pages.select("doc", "page", "text"), ["doc", "page"])
-    head = F.transform(F.array_sort(F.collect_list(F.struct("page", F.substring("text", 1, 40).alias("t")))), lambda x: x["t"])
-    return j.groupBy("doc", "table_id").agg(F.count("*").alias("pages"), F.sum(F.length("text")).alias("chars"), F.array_join(head, " / ").alias("context"))
+    heads = pages.select("doc", "page", F.substring("text", 1, 40).alias("t"), F.length("text").alias("n"))  # no whole text moves
+    j = near.join(heads, ["doc", "page"])
+    head = F.transform(F.array_sort(F.collect_list(F.struct("page", "t"))), lambda x: x["t"])
+    return j.groupBy("doc", "table_id").agg(F.count("*").alias("pages"), F.sum("n").alias("chars"), F.array_join(head, " / ").alias("context"))
 
 
 def localization(blocks: DataFrame, page_counts: DataFrame) -> DataFrame:
