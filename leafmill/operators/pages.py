@@ -169,7 +169,7 @@ def patch_bibliography(base: DataFrame, patch: DataFrame, key: str = "doc") -> D
     p = patch.select(key, *[F.col(c).alias(f"p_{c}") for c in cols])
     pick = lambda c: F.coalesce(F.nullif(F.trim(F.col(c)), F.lit("")), F.nullif(F.trim(F.col(f"p_{c}")), F.lit("")), F.lit(""))
     d = base.join(p, key, "left").select(key, *[pick(c).alias(c) for c in cols])
-    return d.withColumn("citation", F.concat_ws(". ", *[F.nullif(F.col(c), F.lit("")) for c in ("title", "journal_ref", "year", "doi")]))
+    return d.withColumn("citation", F.concat_ws(" ", F.nullif(F.col("journal_ref"), F.lit("")), F.concat(F.lit("doi:"), F.nullif(F.col("doi"), F.lit("")))))
 
 
 def choose_sections(parsed: DataFrame, found: DataFrame) -> DataFrame:

@@ -176,7 +176,7 @@ SELECT doc, page, g IS NOT NULL AS has_candidate, coalesce(g, false) AS has_geom
 SELECT source, count(*) AS docs, string_agg('- ' || doc || ': ' || CASE WHEN f = l THEN 'p. ' || f ELSE 'pp. ' || f || '-' || l END, chr(10) ORDER BY doc) AS listing FROM d GROUP BY source""",
     "bibliography_patch": f"""WITH {V_PAGE}, d AS (SELECT doc, {ASCII.format('text')} AS t FROM v_page WHERE page = 1),
 m AS (SELECT doc, CASE WHEN doc % 2 = 0 AND trim(substr(t, 1, 12)) <> '' THEN trim(substr(t, 1, 12)) ELSE 'Untitled' END AS title, CASE WHEN doc % 3 <> 0 THEN '2001' ELSE '' END AS year, '10.1000/' || doc AS doi, 'J' AS journal_ref FROM d)
-SELECT *, concat_ws('. ', title, journal_ref, nullif(year, ''), doi) AS citation FROM m""",
+SELECT *, journal_ref || ' doi:' || doi AS citation FROM m""",
     "bibliography_first_page": f"""WITH {V_PAGE} SELECT doc, 'On Spark Plans' AS title, 'Ada Lovelace|Alan Turing|Grace Hopper' AS authors, '1999' AS year, '10.1000/' || doc AS doi, 'Journal of Plans, vol. 3, 1999' AS journal_ref FROM v_page WHERE page = 1""",
     "section_choice": f"""WITH {V_PAGE}, p AS (SELECT doc, count(*) AS n, max(page) AS m FROM v_page WHERE doc % 4 = 0 AND page <= doc % 5 GROUP BY doc), f AS (SELECT doc, count(*) AS k FROM v_page WHERE doc % 3 = 0 GROUP BY doc)
 SELECT doc, CASE WHEN n > 0 AND (n >= 3 OR m > 1 OR k IS NULL) THEN 'parsed' ELSE 'found' END AS choice FROM p FULL JOIN f USING (doc)""",
