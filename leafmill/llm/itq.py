@@ -143,4 +143,9 @@ def op10_itq(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op10_itq": op10_itq}
-SQL: dict[str, str] = {}
+SQL = {
+    "op10_itq": """WITH RECURSIVE e AS (SELECT a.vec_id AS x, b.vec_id AS y FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.embedding::double[], b.embedding::double[]) >= 0.98),
+c AS (SELECT vec_id, vec_id AS r FROM embeddings UNION SELECT e.y, c.r FROM c JOIN e ON e.x = c.vec_id),
+m AS (SELECT vec_id, min(r) AS component_id FROM c GROUP BY vec_id), n AS (SELECT x AS vec_id, count(*) AS n_links FROM e GROUP BY x)
+SELECT vec_id, coalesce(n_links, 0)::bigint AS n_links, component_id, vec_id = component_id AS kept FROM m LEFT JOIN n USING (vec_id)""",
+}

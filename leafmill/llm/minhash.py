@@ -309,4 +309,13 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op9_minhash": op9_minhash}
-SQL: dict[str, str] = {}
+SQL = {
+    "op9_minhash": r"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')] ELSE list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')) END) AS sh FROM w),
+u AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, any_value(a.n) AS nx, any_value(b.n) AS ny, count(*) AS i FROM u a JOIN u b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+e AS (SELECT x, y FROM p WHERE 100 * i >= 85 * (nx + ny - i)),
+c AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT e.y, c.r FROM c JOIN e ON e.x = c.doc_id),
+m AS (SELECT doc_id, min(r) AS component_id FROM c GROUP BY doc_id)
+SELECT s.doc_id, len(sh)::bigint AS n_shingles, component_id, s.doc_id = component_id AS kept FROM s JOIN m USING (doc_id)""",
+}
