@@ -191,6 +191,7 @@ def test_near_equal_candidates_need_review(spark):
 
 def test_parsers():
     assert parse.html_rows("<table><tr><th colspan=2>H</th></tr><tr><td rowspan=2>A</td><td>1</td></tr><tr><td>2</td></tr></table>") == {"header_rows": [["H", "H"]], "data_rows": [["A", "1"], ["A", "2"]]}
+    assert parse.table_cells("x <TABLE><tr><td colspan='2' class=\"a>b\">1 &lt; 2 < 3<br/>z</td><!-- <td>no</td> --><th>h</th></tr>") == [[["1 < 2 < 3 z", 1, 2, False], ["h", 1, 1, True]]]
     assert parse.html_rows("") == {"header_rows": [], "data_rows": []}
     t = parse.markdown_tables_of("Table 1: x\n\n|  | A | B |  |\n|---|---|---|---|\n|  | 1 | 2 |  |\n| short |\n")
     assert t == [{"headers": ["", "A", "B", ""], "rows": [["", "1", "2", ""]], "caption": "Table 1: x", "start_line": 3, "end_line": 5}]
@@ -217,7 +218,7 @@ def test_plans_stay_native(spark):
     from leafmill.plans import catalog
 
     python = {"page_match_greedy", "ocr_patch", "compare_readings", "ratio_self", "title_similarity", "doi_resolution", "html_grid_round_trip", "markdown_table_round_trip", "block_tree_tables", "html_evidence", "front_matter"}
-    for name, query in catalog.QUERIES.items():
+    for name, query in ((n, q) for n, q in catalog.QUERIES.items() if not n.startswith("export_")):  # these run as they are built
         plan = query(spark, DATA)._jdf.queryExecution().executedPlan().toString()
         assert ("Python" in plan or "Pandas" in plan or "Arrow" in plan) == (name in python), name
         assert "CartesianProduct" not in plan, name
