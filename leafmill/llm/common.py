@@ -19,6 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession, most: int = 8 << 20) -> None:
+    """Rows go to Python in batches of few bytes, however long texts are: several copies of a batch live at once."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) != f"{most}b":
+        spark.conf.set(name, f"{most}b")
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the folder that the cluster names in spark.checkpoint.dir (a temp folder only where unset)."""
     spark = df.sparkSession

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import small_batches, table
 from .html_pages import Maker
 
 BLOCK = frozenset("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html iframe label legend li main menu nav noscript object ol optgroup option p pre section select summary table tbody td template textarea tfoot th thead title tr ul".split())
@@ -233,6 +233,7 @@ def trained(train_pages: int = 800, seed: int = 5, steps: int = 150, l2: float =
 
 def main_text(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...] = ("page_id", "url"), train_pages: int = 800) -> DataFrame:
     """The columns of `keep`, text and n_chars of every page."""
+    small_batches(pages.sparkSession)
     model = trained(train_pages)
     weights, start, change = model.weights, np.array(model.start), np.array(model.change)
     d = pages.select(F.col(html_col).cast("string").alias("_lm_html"), *[F.col(c).alias(f"_lm_{i}") for i, c in enumerate(keep)])

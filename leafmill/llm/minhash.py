@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, cut, per_group, table, with_small
+from .common import components, cut, per_group, small_batches, table, with_small
 
 BUCKET_BITS, MANTISSA, BANDS, ROWS = 7, 10, 25, 5
 K = 1 << BUCKET_BITS
@@ -278,6 +278,7 @@ def confirmed_links(sets: DataFrame, percent: int, block: int, hubs: int = 8, pr
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85, loose: float | None = None, block: int = 256, lump: int = 4096) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row."""
+    small_batches(docs.sparkSession)
     j = percent / 100
     loose = j - 5 * (j * (1 - j) / K) ** 0.5 if loose is None else loose
     sig = cut(sketches(docs, id_col, text_col))

@@ -14,6 +14,7 @@ document; an empty table gives no row; other columns are ignored; a null doc_id
 from __future__ import annotations
 
 import base64
+import functools
 import re
 import zlib
 from collections.abc import Iterator
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, small_batches, table
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
 ARROW = pa.schema([(n, pa.int64()) for n in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")] + [("ids", pa.binary())])
@@ -31,8 +32,9 @@ ARROW = pa.schema([(n, pa.int64()) for n in ("doc_id", "start", "length", "ids_c
 LONG_RUN = re.compile(r"\S{2000}")
 
 
+@functools.cache
 def encoder(name: str = "byte_bpe_50k"):
-    """text -> ids of the public byte-level vocabulary.
+    """text -> ids of the public byte-level vocabulary; one for each Python worker, which keeps it from task to task.
 
     The same vocabulary stands in two public files; the rank file's library gives equal ids several times faster. Texts
     with the vocabulary's special string or a very long run go through the JSON file's own library.
@@ -168,6 +170,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
                 sequence += 1
         yield out.take()
 
+    small_batches(docs.sparkSession)
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     made = cut(narrow.mapInArrow(run, SCHEMA))
     left = made.where("ids is not null").withColumn("grp", F.expr(f"(sequence_id div 4294967296) div {merge_group}"))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import small_batches, table
 
 #: For tests and the registered query only; production passes a secret of its own.
 DEMO_KEY = b"leafmill demonstration key"
@@ -286,6 +286,7 @@ def drop_overlaps(spans: list[tuple[int, int, str]]) -> list[tuple[int, int, str
 
 def pseudonymise(docs: DataFrame, text_col: str = "text", key: bytes = DEMO_KEY, found_col: str | None = None) -> DataFrame:
     """docs with values in text_col replaced; found_col, if given, gets their number."""
+    small_batches(docs.sparkSession)
     names = docs.columns
     d = docs.toDF(*[f"_lm_{i}" for i in range(len(names))])
     at = names.index(text_col)

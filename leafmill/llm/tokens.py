@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import small_batches, table
 
 MARK = "▁"
 
@@ -150,6 +150,7 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 words = [(t or "").split() for t in texts.to_pylist()]
                 yield pa.RecordBatch.from_arrays([ids, pa.array(map(len, words), pa.int64()), pa.array(trie.totals(words), pa.int64())], ["doc_id", "n_words", "n_tokens"])
 
+    small_batches(docs.sparkSession)
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return d.mapInArrow(run, "doc_id long, n_words long, n_tokens long")
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, small_batches, table
 
 BITS, ORDERS = 18, (3, 4, 5)
 #: Documented bound: training rows for each of the two labels.
@@ -93,6 +93,7 @@ def evidence(text: str, weight: np.ndarray) -> float:
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", train_rows: int = TRAIN_ROWS) -> tuple[np.ndarray, float]:
     """Fit on the labelled rows whose crc32 of the id, mod 5, is not 0."""
+    small_batches(docs.sparkSession)
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("y")).where("doc_id is not null and y in (0, 1)")
     known = known.where("crc32(cast(cast(doc_id as string) as binary)) % 5 <> 0").groupBy("doc_id").agg(F.max("y").alias("y"))
     counts = {r.y: r["count"] for r in known.groupBy("y").count().collect()}
@@ -128,6 +129,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def score(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns of `keep` and _lm_score: the chance of label 1."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     cols = [*keep, *([] if text_col in keep else [text_col])]
     d = docs.select(*[F.col(c).alias(f"_lm_{i}") for i, c in enumerate(cols)])
