@@ -101,13 +101,38 @@ def prefix_by_bucket(df: DataFrame, group: list[str], bucket: str, order: list[C
     return j.withColumn(start, F.col("_lm_before") + F.col("_lm_in")).drop("_lm_size", "_lm_before", "_lm_in")
 
 
-def components(edges: DataFrame) -> DataFrame:
+def _union_find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    up: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (y := up.setdefault(x, x)) != x:
+            up[x] = up[y]
+            x = y
+        return x
+
+    for f in frames:
+        for u, v in zip(f["u"].tolist(), f["v"].tolist()):
+            a, b = top(u), top(v)
+            if a != b:
+                up[max(a, b)] = min(a, b)
+    nodes = list(up)
+    yield pd.DataFrame({"node": nodes, "component": [top(x) for x in nodes]}, dtype="int64")
+
+
+#: Edges up to which one task joins them; a task holds a few tens of bytes for each.
+ONE_TASK_EDGES = 200_000
+
+
+def components(edges: DataFrame, one_task: int = ONE_TASK_EDGES) -> DataFrame:
     """(node, component = smallest id reachable) for the ends of edges (a, b: longs).
 
-    Alternating large and small stars on distinct edges; each round is a grouped minimum and a join, cut by a checkpoint.
+    Edges are made distinct and counted. Few of them are joined by union-find in one task; more by alternating large and
+    small stars, each round a grouped minimum and a join, cut by a checkpoint. Both are exact.
     """
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     e, before = cut(e), None
+    if e.count() <= one_task:
+        return cut(e.coalesce(1).mapInPandas(_union_find, "node long, component long"))
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         m = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))

@@ -293,9 +293,10 @@ def test_components_beside_union_find(spark):
     for a, b in edges:
         x, y = sorted((top(a), top(b)))
         up[y] = x
-    got = {r.node: r.component for r in common.components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert got == {x: top(x) for e in edges if e[0] != e[1] for x in e}
-    assert common.components(spark.createDataFrame([], "a long, b long")).count() == 0
+    for one_task in (0, 1000):
+        got = {r.node: r.component for r in common.components(spark.createDataFrame(edges, "a long, b long"), one_task).collect()}
+        assert got == {x: top(x) for e in edges if e[0] != e[1] for x in e}
+        assert common.components(spark.createDataFrame([], "a long, b long"), one_task).count() == 0
 
 
 def test_mixing_edges(docs, empty):
