@@ -93,7 +93,7 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddin
     coded = cut(classes.mapInPandas(code, f"id long, label string, copies long, v {kind}, keys array<long>"))
     keyed = coded.select("id", F.explode("keys").alias("key"))
     many = cut(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
-    rows = in_blocks(keyed, "key", many, block).select("id", "key", "i", "j")
+    rows = in_blocks(keyed, "key", many, block).select("id", "key", "i", "j", "side")
     rows = rows.join(coded, "id")
 
     def link(g: pd.DataFrame) -> pd.DataFrame | None:
@@ -119,8 +119,6 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddin
         tree = pd.DataFrame({"id": [ids[p] for p, _ in found], "b": pd.array([ids[q] for _, q in found], "Int64"), "links": 0})
         return pd.concat([counted[counted["links"] > 0], tree], ignore_index=True)
 
-    many_k = many.select("key", F.ceil(F.col("n") / block).cast("int").alias("_k"))
-    rows = rows.join(many_k, "key").withColumn("side", F.pmod(F.xxhash64("id", F.lit(7)), F.col("_k")).cast("int")).drop("_k")
     found = cut(per_group(rows, ["key", "i", "j"], ["id"], link, "id long, b long, links long"))
     whole = components(found.where("b is not null").select(F.col("id").alias("a"), "b"))
     links = found.groupBy("id").agg(F.sum("links").alias("links"))

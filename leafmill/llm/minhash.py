@@ -182,11 +182,11 @@ def full_sets(docs: DataFrame, members: DataFrame, id_col: str, text_col: str) -
 
 
 def in_blocks(rows: DataFrame, key: str, sizes: DataFrame, block: int) -> DataFrame:
-    """rows with (key, i, j): one block of a small group, or every pair of a large group's blocks that has the row's own."""
+    """rows with (key, i, j, side): one block of a small group, or every pair of a large group's blocks that has the row's own, side."""
     k = F.ceil(F.col("_lm_n") / block).cast("int")
-    d = rows.join(sizes.withColumnRenamed("n", "_lm_n"), key).withColumn("_lm_k", k).withColumn("_lm_s", F.pmod(F.xxhash64("id", F.lit(7)), F.col("_lm_k")).cast("int"))
+    d = with_small(rows, sizes.withColumnRenamed("n", "_lm_n"), key, "inner").withColumn("_lm_k", k).withColumn("_lm_s", F.pmod(F.xxhash64("id", F.lit(7)), F.col("_lm_k")).cast("int"))
     d = d.withColumn("_lm_o", F.explode(F.sequence(F.lit(0), F.col("_lm_k") - 1)))
-    return d.withColumn("i", F.least("_lm_s", "_lm_o")).withColumn("j", F.greatest("_lm_s", "_lm_o")).drop("_lm_n", "_lm_k", "_lm_s", "_lm_o")
+    return d.withColumn("i", F.least("_lm_s", "_lm_o")).withColumn("j", F.greatest("_lm_s", "_lm_o")).withColumnRenamed("_lm_s", "side").drop("_lm_n", "_lm_k", "_lm_o")
 
 
 def loose_links(reps: DataFrame, loose: float, block: int, lump: int) -> DataFrame:
