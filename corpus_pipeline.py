@@ -16,8 +16,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return minhash.near_dedup(docs)
+    """One document of each group of near copies: five-word shingle sets with a Jaccard of 0.80 or more are linked."""
+    return minhash.near_dedup(docs, percent=80)
 
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,12 +2,13 @@
 
 A document's set is its distinct 5-word shingles (64-bit hashes). Its sketch has 128 buckets; a register keeps the
 leading-zero count (6 bits) and 10 mantissa bits of the bucket's smallest hash, empty buckets borrow from a fixed order of
-donors. 25 bands of 5 registers are keys: two sets of Jaccard 0.85 miss every band with probability 4e-7.
+donors. 25 bands of 5 registers are keys: two sets of Jaccard 0.85 miss every band with probability 4e-7, of 0.80 with
+5e-5.
 
 1. Rows of equal sets (128-bit digest) become one class by a grouped minimum, so exact copies cost nothing further.
 2. Classes that share a band meet in blocks of at most `block` rows (a larger bucket is dealt to all pairs of its
    blocks; one of over `lump` rows is joined without a look, which only widens step 4). Within a block, estimates of at
-   least `loose` join classes into loose components. 0.69 is five standard errors below 0.85.
+   least `loose` join classes into loose components: five standard errors below `percent` (0.69 for 85, 0.62 for 80).
 3. Only members of loose components get their full sets, from their whole texts.
 4. A loose component of at most 2 x `block` is compared in one task. In a larger one every member is first held against
    the few members most like a sample (hubs); who is not in the largest group that this links is compared with all, in

@@ -266,6 +266,31 @@ def test_minhash_beside_brute_force(spark, how):
     assert len({c for _, c in want.values()}) < len(rows)
 
 
+def far_changes(seed, groups, percent=(80, 85)):
+    """Pairs of texts with four changed words far apart, their Jaccard within percent; and texts of their own."""
+    rng, rows = random.Random(seed), []
+    word = lambda: "".join(rng.choices("abcdefghijklm", k=7))
+    for g in range(groups):
+        base = [word() for _ in range(rng.randint(190, 238))]
+        other = list(base)
+        for k in range(4):
+            other[20 + 40 * k] = word()
+        m = len(base) - 4
+        assert percent[0] * (m + 20) <= 100 * (m - 20) < percent[1] * (m + 20)
+        rows += [(3 * g, " ".join(base)), (3 * g + 1, " ".join(other)), (3 * g + 2, " ".join(word() for _ in range(100)))]
+    return rows
+
+
+def test_pipeline_near_dedup_from_80_percent(spark):
+    import corpus_pipeline
+
+    rows = far_changes(3, 40)
+    want = {i for i, (_, c) in exact_groups(rows, 80).items() if i == c}
+    assert len(want) == 80 and len({c for _, c in exact_groups(rows).values()}) == 120
+    got = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert sorted(r.doc_id for r in got.collect()) == sorted(want)
+
+
 def test_registers_estimate():
     rng = np.random.default_rng(5)
     for n, share in ((40, 0.9), (400, 0.85), (4000, 0.5)):
