@@ -303,7 +303,9 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gone = cut(groups.where("not kept").select(F.col("doc_id").alias(id_col)).distinct())
     out = with_small(docs, gone, id_col, "left_anti")
     repeated = docs.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").head(1)
-    return out.dropDuplicates([id_col]) if repeated else out
+    if not repeated:
+        return out
+    return out.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(out.where(F.col(id_col).isNull()))
 
 
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -291,6 +291,13 @@ def test_pipeline_near_dedup_from_80_percent(spark):
     assert sorted(r.doc_id for r in got.collect()) == sorted(want)
 
 
+def test_near_dedup_keeps_null_ids_beside_a_repeated_id(spark):
+    rows = [(None, "one clean text of its own here"), (None, "another text without an id"), (None, "another text without an id"), (1, "a repeated id with the same text"), (1, "a repeated id with the same text"), (2, "last of them all and unlike")]
+    got = minhash.near_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(str, (r.doc_id for r in got))) == ["1", "2", "None", "None", "None"]
+    assert sorted(r.text for r in got if r.doc_id is None) == sorted(t for i, t in rows if i is None)
+
+
 def test_registers_estimate():
     rng = np.random.default_rng(5)
     for n, share in ((40, 0.9), (400, 0.85), (4000, 0.5)):
