@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import grid as G
 from ..functions import text as T
-from .pages import MARKDOWN_HEADING, PLAIN_HEADING
+from .pages import MARKDOWN_HEADING, PLAIN_HEADING, page_texts
 
 # Texts that stand for a missing answer; words of addresses in author lines.
 PLACEHOLDERS = ("string", "<summary text>", "<topic>", "<section title>", "<section summary>", "...", "…")
@@ -76,20 +76,20 @@ def table_ids(groups: DataFrame, known: DataFrame) -> DataFrame:
     return groups.join(known.select("doc", "group", "table_id"), ["doc", "group"], "left").withColumn("table_id", F.coalesce("table_id", T.stable_id(F.col("doc"), F.col("group"), F.col("page"), sep="|")))
 
 
-def review_context(tables: DataFrame, fragments: DataFrame, pages: DataFrame, most: int = 400) -> DataFrame:
-    """tables (doc, table_id, fragment_ids, pages) with their fragments' captions and their pages' text, clipped."""
+def review_context(tables: DataFrame, fragments: DataFrame, pages: DataFrame, most: int | None = None) -> DataFrame:
+    """tables (doc, table_id, fragment_ids, pages) with their fragments' captions and their pages' texts, whole unless `most` is given."""
     f = tables.select("doc", "table_id", F.posexplode("fragment_ids").alias("i", "frag")).join(fragments.select("doc", F.col("frag").cast("string").alias("frag"), "caption"), ["doc", "frag"])
     f = f.groupBy("doc", "table_id").agg(F.count("*").alias("fragments"), F.array_join(in_order(["i"], F.col("caption")), "; ").alias("captions"))
-    p = tables.select("doc", "table_id", F.explode("pages").alias("page")).join(pages.select("doc", "page", F.substring("text", 1, most).alias("text")), ["doc", "page"])
-    p = p.groupBy("doc", "table_id").agg(F.array_join(in_order(["page"], F.col("text")), "\n").alias("page_text"))
+    p = page_texts(tables.select("doc", "table_id", F.col("pages").alias("at")), pages, "\n", most).select("doc", "table_id", "page_text")
     return tables.select("doc", "table_id").join(f, ["doc", "table_id"], "left").join(p, ["doc", "table_id"], "left").na.fill(0, ["fragments"]).na.fill("", ["captions", "page_text"])
 
 
-def evidence(tables: DataFrame, ocr: DataFrame, pages: DataFrame, most: int = 2000) -> DataFrame:
-    """tables (doc, table_id, page, headers, rows) with one text of all that may back a repair: its own cells, the page's other reading, the page."""
+def evidence(tables: DataFrame, ocr: DataFrame, pages: DataFrame, most: int | None = None) -> DataFrame:
+    """tables (doc, table_id, page, headers, rows) with one text of all that may back a repair: its own cells, the page's other reading, the page (whole unless `most` is given)."""
+    text = F.col("text") if most is None else F.substring("text", 1, most)
     own = tables.select("doc", "page", "table_id", G.flatten_text(F.col("headers"), F.col("rows")).alias("own"))
     other = ocr.groupBy("doc", "page").agg(F.array_join(in_order(["ord"], G.flatten_text(F.col("headers"), F.col("rows"))), "\n").alias("ocr"))
-    j = own.join(other, ["doc", "page"], "left").join(pages.select("doc", "page", F.substring("text", 1, most).alias("page_text")), ["doc", "page"], "left")
+    j = own.join(other, ["doc", "page"], "left").join(pages.select("doc", "page", text.alias("page_text")), ["doc", "page"], "left")
     return j.select("doc", "table_id", F.concat_ws("\n", "own", "ocr", "page_text").alias("evidence"))
 
 

@@ -117,13 +117,25 @@ def keyword_topics(text: Column, most: int = 8) -> Column:
     return F.slice(F.array_distinct(parts), 1, most)
 
 
-def window_context(tables: DataFrame, pages: DataFrame, window: int = 1) -> DataFrame:
-    """tables (doc, table_id, page) with the text lengths and joined first words of pages within the window: an equi join on exploded pages."""
-    near = tables.select("doc", "table_id", F.explode(F.sequence(F.greatest(F.col("page") - window, F.lit(1)), F.col("page") + window)).alias("page"))
-    heads = pages.select("doc", "page", F.substring("text", 1, 40).alias("t"), F.length("text").alias("n"))  # no whole text moves
-    j = near.join(heads, ["doc", "page"])
-    head = F.transform(F.array_sort(F.collect_list(F.struct("page", "t"))), lambda x: x["t"])
-    return j.groupBy("doc", "table_id").agg(F.count("*").alias("pages"), F.sum("n").alias("chars"), F.array_join(head, " / ").alias("context"))
+def page_texts(tables: DataFrame, pages: DataFrame, separator: str, most: int | None = None) -> DataFrame:
+    """tables (doc, table_id, at: their pages) with how many of these there are, their length and their texts joined, whole unless `most` is given.
+
+    Each distinct set of pages of a document is joined once, however many tables ask for it.
+    """
+    t = tables.select("doc", "table_id", F.array_sort(F.array_distinct(F.filter("at", lambda p: p.isNotNull()))).alias("at"))
+    near = t.select("doc", "at").distinct().select("doc", "at", F.explode("at").alias("page"))
+    text = F.col("text") if most is None else F.substring("text", 1, most)
+    j = near.join(pages.select("doc", "page", text.alias("t"), F.length("text").alias("n")), ["doc", "page"])
+    texts = F.transform(F.array_sort(F.collect_list(F.struct("page", "t"))), lambda x: x["t"])
+    sets = j.groupBy("doc", "at").agg(F.count("*").alias("pages"), F.sum("n").alias("chars"), F.array_join(texts, separator).alias("page_text"))
+    return t.join(sets, ["doc", "at"]).drop("at")
+
+
+def window_context(tables: DataFrame, pages: DataFrame, window: int = 1, most: int | None = None) -> DataFrame:
+    """tables (doc, table_id, page; a row for each page of a table) with the lengths and texts of all pages within the window, whole unless `most` is given."""
+    own = tables.where("page > 0").groupBy("doc", "table_id").agg(F.collect_set("page").alias("own"))
+    at = F.flatten(F.transform("own", lambda p: F.sequence(F.greatest(p - window, F.lit(1)), p + window)))
+    return page_texts(own.withColumn("at", at), pages, " / ", most).withColumnRenamed("page_text", "context")
 
 
 def localization(blocks: DataFrame, page_counts: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-FAMILIES = ("page_queries", "table_queries", "review_queries", "doi_queries", "layout_queries", "assembly_queries", "export_queries")
+FAMILIES = ("page_queries", "table_queries", "review_queries", "doi_queries", "layout_queries", "assembly_queries", "whole_queries", "export_queries")
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}

@@ -81,7 +81,7 @@ def sections(spark, sf):
 
 def page_window_context(spark, sf):
     t = v_fragment(spark, sf).select((F.col("doc") % 50).alias("doc"), F.col("frag").alias("table_id"), "page")
-    return P.window_context(t, v_page(spark, sf))
+    return P.window_context(t, v_page(spark, sf), most=40)
 
 
 def localization_status(spark, sf):
