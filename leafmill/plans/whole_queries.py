@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import assembly as Y
 from ..operators import pages as P
+from .page_queries import HEUR
 from .views import PAGES_OF_A_DOC, V_FRAGMENT, V_GRID, V_PAGE, v_fragment, v_grid, v_page
 
 
@@ -32,7 +33,14 @@ def evidence_whole(spark, sf):
     return Y.evidence(g, ocr, v_page(spark, sf)).select("doc", "table_id", F.md5("evidence").alias("evidence_md5"))
 
 
-QUERIES = {f.__name__: f for f in (page_window_whole, review_context_whole, evidence_whole)}
+def born_digital_whole(spark, sf):
+    pages = v_page(spark, sf).withColumn("route", P.route(P.heuristics(F.col("text")))).select("doc", "page", "route")
+    f = _spread(spark, sf, v_fragment(spark, sf), "frag").select("doc", F.col("frag").alias("table_id"), F.explode(F.array("page", F.col("page") + 1)).alias("page"))
+    j = f.join(pages, ["doc", "page"], "left").groupBy("doc", "table_id").agg(F.bool_and(F.when(F.col("route").isNotNull(), F.col("route") == "anchored")).alias("b"))
+    return j.select("doc", "table_id", F.coalesce("b", F.lit(False)).alias("born_digital"))
+
+
+QUERIES = {f.__name__: f for f in (page_window_whole, review_context_whole, evidence_whole, born_digital_whole)}
 N = "(SELECT coalesce(max(doc), 0) + 1 FROM v_page)"
 SPREAD = f"{{0}} % {N} AS doc, ({{0}} // {N} % {PAGES_OF_A_DOC} + 1)::int AS page"
 SQL = {
@@ -44,4 +52,6 @@ SELECT f.doc, frag AS table_id, 1::bigint AS fragments, any_value(caption) AS ca
 FROM f LEFT JOIN v_page v ON v.doc = f.doc AND v.page IN (f.page, f.page + 1) GROUP BY f.doc, frag""",
     "evidence_whole": f"""WITH {V_PAGE}, {V_GRID}, g AS (SELECT {SPREAD.format('table_id')}, table_id, array_to_string(headers, ' | ') || chr(10) || array_to_string(list_transform(rows, lambda r: array_to_string(r, ' | ')), chr(10)) AS own FROM v_grid)
 SELECT g.doc, table_id, md5(concat_ws(chr(10), own, 'H' || chr(10) || source, text)) AS evidence_md5 FROM g LEFT JOIN v_page p ON p.doc = g.doc AND p.page = g.page""",
+    "born_digital_whole": f"""WITH {V_PAGE}, {HEUR}, {V_FRAGMENT}, t AS (SELECT {SPREAD.format('frag')}, frag AS table_id FROM v_fragment), f AS (SELECT doc, table_id, unnest([page, page + 1]) AS page FROM t)
+SELECT f.doc, table_id, coalesce(bool_and(route = 'anchored'), false) AS born_digital FROM f LEFT JOIN s USING (doc, page) GROUP BY ALL""",
 }

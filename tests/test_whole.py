@@ -23,3 +23,15 @@ def test_context_holds_whole_pages(spark):
     r = spark.createDataFrame([(1, 7, ["f"], [2, 3])], "doc long, table_id long, fragment_ids array<string>, pages array<int>")
     f = spark.createDataFrame([(1, "f", "Table 1")], "doc long, frag string, caption string")
     assert Y.review_context(r, f, pages).first().page_text == LONG[1, 2] + "\n" + LONG[1, 3]
+
+
+def test_every_page_takes_part(spark, tmp_path):
+    """Sixty documents of twenty pages: tables meet all of them, not only the first fifty."""
+    spark.range(1200).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source")).write.parquet(f"{tmp_path}/documents.parquet")
+    o = spark.range(1, 2401).select(F.col("id").alias("o_orderkey"), (F.col("id") % 70).alias("o_custkey"), F.lit("O").alias("o_orderstatus"), F.lit("1-URGENT").alias("o_orderpriority"))
+    o.write.parquet(f"{tmp_path}/orders.parquet")
+    at = W._spread(spark, str(tmp_path), W.v_fragment(spark, str(tmp_path)), "frag").select("doc", "page").distinct()
+    assert at.count() == 1200 and W.v_page(spark, str(tmp_path)).join(at, ["doc", "page"]).count() == 1200
+    for q in (W.page_window_whole, W.review_context_whole, W.born_digital_whole):
+        rows = q(spark, str(tmp_path)).collect()
+        assert len(rows) == 2400 and {r.doc for r in rows} == set(range(60))
