@@ -81,7 +81,7 @@ class Leaves(HTMLParser):
         path = ""
         if tag in BLOCK:
             given = [v for k, v in attrs if k in ("class", "id", "role", "aria-label") and v]
-            path = f"{tag} {' '.join(given)}"[:300] if given else tag
+            path = f"{tag} {' '.join(given)}" if given else tag
         elif tag == "a":
             self.links += 1
         elif tag in ("script", "style", "svg"):
@@ -156,12 +156,16 @@ class Model:
         self.weights, self.start, self.change = weights, start.tolist(), change.tolist()
         self.paths: dict = {}
         self.texts: dict = {}
+        self.held = 0  # characters of the paths
 
     def _sum(self, table: dict, key, names) -> float:
         v = table.get(key)
         if v is None:
-            if len(table) > 100_000:
+            if table is self.paths:
+                self.held += sum(map(len, key))
+            if len(table) > 100_000 or table is self.paths and self.held > 1 << 26:
                 table.clear()
+                self.held = 0 if table is self.paths else self.held
             v = table[key] = sum(self.weights.get(f, 0.0) for f in names(key))
         return v
 

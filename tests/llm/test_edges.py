@@ -415,6 +415,12 @@ def test_html_held_out_pages():
     assert same >= 0.88 * 300 and words[0] / words[1] > 0.98 and words[0] / words[2] > 0.98
 
 
+def test_html_names_behind_long_classes():
+    utilities = " ".join(f"md:px-{i} lg:py-{i}" for i in range(60))
+    (leaf,) = html_text.leaves(f'<body><div class="{utilities}" id="comments" role="complementary">Nice post</div></body>')
+    assert {"name:comments", "name:complementary", "name:md"} <= set(html_text.path_features(leaf.path))
+
+
 def test_viterbi_beside_all_paths():
     maker, model = html_text.Maker(3), html_text.trained()
     for _ in range(40):
