@@ -62,7 +62,11 @@ def groups(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataF
 
 
 def per_group(df: DataFrame, keys: list[str], order: list[str], fn: Callable[[pd.DataFrame], pd.DataFrame | None], schema: str) -> DataFrame:
-    """fn for each bounded group of equal keys, streamed through sorted partitions (no Arrow batch for each group)."""
+    """fn for each bounded group of equal keys, streamed through sorted partitions (no Arrow batch for each group).
+
+    Rows are dealt by a hash of the keys, not by the keys: a shuffle by columns that a join below has dealt by already is
+    left out of the plan, and adaptive execution may then read that join's rows as they lie, which cuts groups apart.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out, n = [], 0
@@ -76,7 +80,8 @@ def per_group(df: DataFrame, keys: list[str], order: list[str], fn: Callable[[pd
         if out:
             yield pd.concat(out, ignore_index=True)
 
-    return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(run, schema)
+    dealt = df.withColumn("_lm_g", F.xxhash64(*keys)).repartition("_lm_g").drop("_lm_g")
+    return dealt.sortWithinPartitions(*keys, *order).mapInPandas(run, schema)
 
 
 def hash_bucket(h: Column, n: Column) -> Column:

@@ -519,3 +519,21 @@ def test_hilbert_curve_is_one():
         order = np.argsort(hilbert.hilbert_key(pts, b))
         assert len(set(hilbert.hilbert_key(pts, b))) == len(pts)
         assert (np.abs(np.diff(pts[order], axis=0)).sum(axis=1) == 1).all()
+
+
+def test_groups_stay_whole_after_a_join_broadcast_at_run_time(spark):
+    """Adaptive execution turns a join dealt by the same keys into a broadcast and reads its rows as they lie."""
+    import pandas as pd
+
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled")}
+    d = common.cut(spark.range(4000).select((F.col("id") % 50).alias("k"), "id").repartition(7))
+    n = common.cut(d.groupBy("k").count())
+    for k, v in zip(old, ("-1", "10MB", "false")):
+        spark.conf.set(k, v)
+    try:
+        joined = d.join(n.where("count < 1000").select("k"), "k", "left_semi")
+        got = common.per_group(joined, ["k"], ["id"], lambda g: pd.DataFrame({"k": [g["k"].iloc[0]], "n": [len(g)]}), "k long, n long").collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert sorted((r.k, r.n) for r in got) == [(k, 80) for k in range(50)]
