@@ -537,3 +537,30 @@ def test_groups_stay_whole_after_a_join_broadcast_at_run_time(spark):
         for k, v in old.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
     assert sorted((r.k, r.n) for r in got) == [(k, 80) for k in range(50)]
+
+
+def test_registers_agree_where_one_set_leaves_a_bucket_empty():
+    """Only an empty bucket borrows; a full one keeps its own register."""
+    rng = np.random.default_rng(8)
+    for n in (300, 500, 700, 900):
+        for _ in range(20):
+            a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2))
+            b = a[rng.random(len(a)) < 0.93]
+            real = len(b) / len(a)
+            eq = np.array([(minhash.registers(a) == minhash.registers(b)).sum()])
+            assert abs(minhash.estimate(eq, len(a), np.array([len(b)]))[0] - real) < 0.16
+
+
+def test_minhash_near_the_size_of_its_sketch(spark):
+    """Texts of 450 to 900 words: some leave one of the 128 buckets empty, their copies none."""
+    rng, rows = random.Random(12), []
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    for g in range(60):
+        base = [word() for _ in range(rng.randint(450, 900))]
+        for k in range(3):
+            t = list(base)
+            for _ in range(4 * k):
+                t[rng.randrange(len(t))] = word()
+            rows.append((3 * g + k, " ".join(t)))
+    got = minhash.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == exact_groups(rows)
