@@ -13,12 +13,22 @@ from pyspark.sql.window import Window
 
 #: Rows up to which a narrow table may be broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 200_000
+#: And the bytes of such a table.
+BROADCAST_BYTES = 64 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(name: str, taken: Sequence[str]) -> str:
+    """name, with underscores at its end while a column is called so (Spark's names don't differ by case)."""
+    low = {c.lower() for c in taken}
+    while name.lower() in low:
+        name += "_"
+    return name
+
+
 def small_batches(spark: SparkSession, most: int = 8 << 20) -> None:
     """Rows go to Python in batches of few bytes, however long texts are: several copies of a batch live at once."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -27,17 +37,31 @@ def small_batches(spark: SparkSession, most: int = 8 << 20) -> None:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder that the cluster names in spark.checkpoint.dir (a temp folder only where unset)."""
+    """Reliable checkpoint in the folder that the cluster names in spark.checkpoint.dir.
+
+    Where that is unset, a temp folder does for a local master; elsewhere executors could not read it, so it is an error.
+    """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="leafmill-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="leafmill-"))
     return df.checkpoint()
 
 
+def few(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether df has at most so many rows and, by its columns' lengths, so many bytes."""
+    long = [F.coalesce(F.octet_length(F.col(f"`{c}`") if t in ("string", "binary") else F.to_json(F.struct(f"`{c}`"))), F.lit(0)) for c, t in df.dtypes if t in ("string", "binary") or t[:5] in ("array", "map<s", "struc")]
+    width = sum(long, F.lit(16 * len(df.columns)))
+    r = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("b")).first()
+    return r.n <= rows and r.b <= size
+
+
 def with_small(df: DataFrame, small: DataFrame, on: str | Sequence[str], how: str = "left", most: int = BROADCAST_ROWS) -> DataFrame:
-    """Join with a table that is broadcast only if its counted rows are few; else Spark shuffles (and splits skew)."""
-    return df.join(F.broadcast(small) if small.count() <= most else small, on, how)
+    """Join with a table that is broadcast only if its counted rows and bytes are few; else Spark shuffles (and splits skew)."""
+    return df.join(F.broadcast(small) if few(small, most) else small, on, how)
 
 
 def groups(frames: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
