@@ -3,13 +3,17 @@
 A text's features are its distinct lower-case character n-grams of each order, hashed into 2 ** bits places. Training
 rows are labelled rows outside the held-out fold, at most `train_rows` for each label (smallest hash of their id first;
 that bound is the only sample). Each place's log ratio of its document rate under label 1 and label 0 scales the place;
-a logistic regression with an L2 penalty is fitted to the scaled places, and its intercept is moved from the sample's
-odds to the odds of all training rows. A model is one float for each place, so its size does not grow with the data.
+a logistic regression over all places with an L2 penalty is fitted by quasi-Newton steps, and its intercept is moved from
+the sample's odds to the odds of all training rows. A model is one float for each place, so its size does not grow with
+the data. A training row goes to the fitting task as a list of places or, if that is shorter, as one bit a place, so the
+task holds 2 * train_rows * 2 ** bits / 8 bytes (197 MB) at most, however long texts are.
 
 Defined cases: null text counts as empty; an empty text scores the prior alone; rows without label are scored all the
-same; of several labels of one document the largest holds; with no labelled row of one of the labels every score is
-(rows of label 1 + 1) / (rows + 2); repeated rows are scored each; an empty table gives no row; long texts are read
-whole, in overlapping slices; other columns are ignored.
+same; of several labels of one document the largest holds; of repeated training rows the one with the most places (ties:
+the first places) trains; with no labelled row of one of the labels every score is (rows of label 1 + 1) / (rows + 2);
+repeated rows are scored each; an empty table gives no row; long texts are read whole, slice by slice, with the features
+that they have in one piece; other columns pass through whatever they are called (a score column that would clash gets
+underscores at its end).
 """
 
 from __future__ import annotations
@@ -22,20 +26,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, small_batches, table
+from .common import cut, fresh, small_batches, table
 
 BITS, ORDERS = 18, (3, 4, 5)
 #: Documented bound: training rows for each of the two labels.
 TRAIN_ROWS = 3000
-#: Places kept in the linear model, by the strength of evidence of their ratio.
-KEEP = 2048
 
 
 def places(text: str, slice_chars: int = 1 << 20) -> Iterator[np.ndarray]:
-    """Hashed n-grams of the whole text, with repeats, slice by slice."""
-    text = text.lower()
-    for at in range(0, max(len(text), 1), slice_chars):
-        c = np.frombuffer(f" {text[at : at + slice_chars + max(ORDERS)]} ".encode("utf-32-le", "surrogatepass"), np.uint32)
+    """Hashed n-grams of the whole text between two spaces, with repeats, slice by slice."""
+    text = f" {text.lower()} "
+    for at in range(0, len(text), slice_chars):
+        c = np.frombuffer(text[at : at + slice_chars + max(ORDERS) - 1].encode("utf-32-le", "surrogatepass"), np.uint32)
         c = np.where((c == 10) | (c == 9) | (c == 13), np.uint32(32), c)
         h, found = c, []
         for n in range(2, max(ORDERS) + 1):
@@ -54,41 +56,128 @@ def features(text: str) -> np.ndarray:
     return np.flatnonzero(mark).astype(np.int32)
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray, odds: float, keep: int = KEEP, l2: float = 1.0, steps: int = 200) -> tuple[np.ndarray, float]:
-    """Weight of each place and intercept; rows: distinct places; odds: of label 1 among all training rows."""
-    weight = np.zeros(1 << BITS, np.float32)
-    counts = np.zeros((2, 1 << BITS), np.int64)
-    for r, y in zip(rows, labels):  # a row's places are distinct; no copy of all rows together
-        counts[int(y), r] += 1
-    neg, pos = counts
-    n1, n0 = int(labels.sum()), int((1 - labels).sum())
-    ratio = np.log((pos + 1) / (n1 + 2)) - np.log((neg + 1) / (n0 + 2))
-    strength = np.abs(ratio) / np.sqrt(1 / (pos + 1) + 1 / (neg + 1))
-    strength[pos + neg < 3] = 0
-    chosen = np.sort(np.lexsort((np.arange(1 << BITS), -strength))[:keep])
-    chosen = chosen[strength[chosen] > 0]
-    place = np.full(1 << BITS, -1, np.int32)
-    place[chosen] = np.arange(len(chosen))
-    parts = [(p := place[r])[p >= 0] for r in rows]
-    row = np.repeat(np.arange(len(rows)), [len(p) for p in parts])
-    col = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-    x, m = ratio[chosen][col], len(chosen)
-    w, b = np.zeros(m), 0.0
-    seen, seen_b = np.full(m, 1e-8), 1e-8
-    for _ in range(steps):  # AdaGrad on the whole sample
-        z = np.bincount(row, x * w[col], len(rows)) + b
-        g = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - labels
-        gw, gb = np.bincount(col, x * g[row], m) + l2 * w, g.sum()
-        seen, seen_b = seen + gw * gw, seen_b + gb * gb
-        w, b = w - 0.2 * gw / np.sqrt(seen), b - 0.2 * gb / math.sqrt(seen_b)
-    weight[chosen] = w * ratio[chosen]
-    return weight, float(b + math.log(odds) - math.log(n1 / n0))
-
-
-def evidence(text: str, weight: np.ndarray) -> float:
+def pack_places(p: np.ndarray) -> bytes:
+    """Distinct places as a list of four bytes each or as one bit a place, whichever is shorter."""
+    if 4 * len(p) < 1 << BITS - 3:
+        return p.astype("<i4").tobytes()
+    mark = np.zeros(1 << BITS, bool)
+    mark[p] = True
+    return np.packbits(mark).tobytes()
+
+
+class Sample:
+    """Rows of places; products with the 0-1 matrix of rows and places, in pieces of bounded memory."""
+
+    def __init__(self, rows: list[bytes], piece: int = 1 << 17) -> None:
+        lists = [i for i, r in enumerate(rows) if len(r) < 1 << BITS - 3]
+        bits = [i for i, r in enumerate(rows) if len(r) == 1 << BITS - 3]
+        self.order, self.n_lists, self.piece = np.array(lists + bits, int), len(lists), piece
+        self.col = np.frombuffer(b"".join(rows[i] for i in lists), "<i4")
+        if len(self.col) < 1 << 24:
+            self.col = self.col.astype(np.intp)  # what indexing takes, made once where that costs little memory
+        self.end = np.concatenate([[0], np.cumsum([len(rows[i]) // 4 for i in lists], dtype=np.int64)])
+        self.bits = [np.frombuffer(rows[i], np.uint8) for i in bits]
+
+    def _lists(self) -> Iterator[tuple[int, int]]:
+        a = 0
+        while a < self.n_lists:
+            b = max(a + 1, int(np.searchsorted(self.end, self.end[a] + self.piece, "right")) - 1)
+            yield a, b
+            a = b
+
+    def _bits(self) -> Iterator[tuple[int, np.ndarray]]:
+        for a in range(0, len(self.bits), 32):
+            yield self.n_lists + a, np.unpackbits(np.stack(self.bits[a : a + 32]), axis=1).astype(np.float32)
+
+    def times(self, v: np.ndarray) -> np.ndarray:
+        """For each row the sum of v over its places."""
+        out = np.zeros(len(self.order))
+        for a, b in self._lists():
+            s = np.concatenate([[0.0], np.cumsum(v[self.col[self.end[a] : self.end[b]]])])
+            out[a:b] = s[self.end[a + 1 : b + 1] - self.end[a]] - s[self.end[a:b] - self.end[a]]
+        for a, x in self._bits():
+            out[a : a + len(x)] = x @ v.astype(np.float32)
+        return out
+
+    def back(self, g: np.ndarray) -> np.ndarray:
+        """For each place the sum of g over its rows."""
+        out = np.zeros(1 << BITS)
+        for a, b in self._lists():
+            out += np.bincount(self.col[self.end[a] : self.end[b]], np.repeat(g[a:b], np.diff(self.end[a : b + 1])), 1 << BITS)
+        for a, x in self._bits():
+            out += g[a : a + len(x)].astype(np.float32) @ x
+        return out
+
+
+def minimise(fn, x: np.ndarray, steps: int, memory: int = 8, least: float = 1e-2) -> np.ndarray:
+    """Limited-memory quasi-Newton descent with step halving; fn gives value and gradient."""
+    value, g = fn(x)
+    past: list[tuple[np.ndarray, np.ndarray, float]] = []
+    for _ in range(steps):
+        if np.abs(g).max() < least:
+            break
+        d, a = -g, []
+        for s, y, r in reversed(past):
+            a.append(r * (s @ d))
+            d = d - a[-1] * y
+        if past:
+            s, y, r = past[-1]
+            d = d / (r * (y @ y))
+        else:
+            d = d / max(1.0, float(np.abs(g).sum()))
+        for (s, y, r), k in zip(past, reversed(a)):
+            d = d + s * (k - r * (y @ d))
+        slope, t = float(g @ d), 1.0
+        while True:
+            new, h = fn(x + t * d)
+            if new <= value + 1e-4 * t * slope or t < 1e-6:
+                break
+            t /= 2
+        s, y = t * d, h - g
+        if s @ y > 1e-12:
+            past = [*past[1 - memory :], (s, y, 1 / float(s @ y))]
+        x, value, g = x + s, new, h
+    return x
+
+
+def fit(rows: list[bytes], labels: np.ndarray, odds: float, l2: float = 0.1, spread: float = 0.02, steps: int = 30) -> tuple[np.ndarray, float]:
+    """Weight of each place and intercept; rows: packed distinct places; odds: of label 1 among all training rows.
+
+    A ratio's sampling variance is about the sum of its two counts' inverses. The ratio is shrunk as the posterior mean
+    under a prior of variance `spread` around 0, so that places seen in few rows count for little and none is left out.
+    """
+    sample = Sample(rows)
+    y = labels[sample.order].astype(float)
+    n1, n0 = y.sum(), (1 - y).sum()
+    pos, neg = sample.back(y), sample.back(1 - y)
+    share = n1 / (n1 + n0)
+    ratio = np.log((pos + share) / n1) - np.log((neg + 1 - share) / n0)  # 0 for places never seen in training
+    ratio *= spread / (spread + 1 / (pos + 1) + 1 / (neg + 1))
+
+    def loss(x: np.ndarray) -> tuple[float, np.ndarray]:
+        w, b = x[:-1], x[-1]
+        z = sample.times(w * ratio) + b
+        g = 1 / (1 + np.exp(-np.clip(z, -60, 60))) - y
+        value = np.logaddexp(0, z).sum() - (y * z).sum() + l2 / 2 * (w @ w)
+        return float(value), np.append(sample.back(g) * ratio + l2 * w, g.sum())
+
+    x = minimise(loss, np.append(np.zeros(1 << BITS), math.log(n1 / n0)), steps)
+    return (x[:-1] * ratio).astype(np.float32), float(x[-1] + math.log(odds) - math.log(n1 / n0))
+
+
+class Evidence:
     """Sum of the weights of a text's distinct places."""
-    hits = [p[weight[p] != 0] for p in places(text)]
-    return float(weight[np.unique(np.concatenate(hits))].astype(np.float64).sum())
+
+    def __init__(self, weight: np.ndarray) -> None:
+        self.weight, self.last = weight.astype(np.float64), np.zeros(1 << BITS, np.int64)
+
+    def __call__(self, text: str) -> float:
+        if len(text) > 1 << 20:
+            return float(self.weight[features(text)].sum())
+        (p,) = places(text)
+        i = np.arange(len(p))
+        self.last[p] = i  # of equal places the last one's number stays
+        return float(self.weight[np.sort(p[self.last[p] == i])].sum())
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", train_rows: int = TRAIN_ROWS) -> tuple[np.ndarray, float]:
@@ -108,13 +197,14 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([features(t).tobytes() for t in b.column(2).to_pylist()], pa.binary())], ["doc_id", "y", "f"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([pack_places(features(t)) for t in b.column(2).to_pylist()], pa.binary())], ["doc_id", "y", "f"])
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = {}
         for b in batches:
             for i, y, f in zip(*(c.to_pylist() for c in b.columns)):
-                got.setdefault(i, (y, np.frombuffer(f, np.int32)))  # of repeated rows one
+                if i not in got or (-len(f), f) < (-len(got[i][1]), got[i][1]):
+                    got[i] = (y, f)
         ids = sorted(got)
         if len({got[i][0] for i in ids}) < 2:
             p = (n1 + 1) / (n1 + n0 + 2)
@@ -123,28 +213,32 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             w, b0 = fit([got[i][1] for i in ids], np.array([got[i][0] for i in ids], float), n1 / n0)
         yield pa.RecordBatch.from_arrays([pa.array([w.tobytes()], pa.binary()), pa.array([b0])], ["w", "b"])
 
-    made = rows.select("doc_id", "y", "text").mapInArrow(one, "doc_id long, y int, f binary").repartition(1).mapInArrow(whole, "w binary, b double").first()
+    made = rows.select("doc_id", "y", "text").mapInArrow(one, "doc_id long, y int, f binary")
+    # of repeated rows one goes on, whatever their number
+    made = made.groupBy("doc_id", "y").agg(F.min_by("f", F.struct(-F.length("f"), "f")).alias("f"))
+    made = made.repartition(1).mapInArrow(whole, "w binary, b double").first()
     return np.frombuffer(made.w, np.float32), made.b
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns of `keep` and _lm_score: the chance of label 1."""
+def score(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), score_col: str = "_lm_score") -> DataFrame:
+    """The columns of `keep` and score_col: the chance of label 1."""
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     cols = [*keep, *([] if text_col in keep else [text_col])]
-    d = docs.select(*[F.col(c).alias(f"_lm_{i}") for i, c in enumerate(cols)])
+    d = docs.select(*[F.col(f"`{c}`").alias(f"_lm_{i}") for i, c in enumerate(cols)])
     at, n = cols.index(text_col), len(keep)
     kinds = [f"{c} {t}" for c, t in d.dtypes[:n]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight, b0 = shared.value
+        evidence = Evidence(weight)
         for b in batches:
-            z = np.array([evidence(t.as_py() or "", weight) for t in b.column(at)], float) + b0
+            z = np.array([evidence(t.as_py() or "") for t in b.column(at)], float) + b0
             p = 1 / (1 + np.exp(-np.clip(z, -60, 60)))
             yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array(p, pa.float64())], [*b.schema.names[:n], "_lm_score"])
 
     out = d.mapInArrow(run, ", ".join([*kinds, "_lm_score double"]))
-    return out.select(*[F.col(f"_lm_{i}").alias(c) for i, c in enumerate(keep)], "_lm_score")
+    return out.select(*[F.col(f"_lm_{i}").alias(c) for i, c in enumerate(keep)], F.col("_lm_score").alias(fresh(score_col, keep)))
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
