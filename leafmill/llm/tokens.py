@@ -1,19 +1,20 @@
 """Token counts: unigram best segmentation over a trie that shares forward scores between pre-tokens.
 
-Pre-tokens are a word mark and a run without white space. The distinct pre-tokens of a batch are inserted in the order
-in which a depth-first walk meets their trie's terminals, so the trie is never held whole: `Trie.path` is the line of
-nodes from the root to the pre-token at hand, a node is the forward score of its prefix (best score of any segmentation,
-with its token count), and inserting a pre-token keeps the nodes of the prefix that it shares and scores the others once.
-Terminals keep their counts in a table from batch to batch and task to task, emptied when it holds `most_words`: that
-bounds memory and changes no count. A document's count is the sum over its pre-tokens. No shuffle is needed, whatever
-the number of distinct pre-tokens in the corpus.
+Pre-tokens are a word mark and a run without white space. A worker keeps a trie from batch to batch and task to task: a
+node is a prefix with its forward score (best score of any segmentation, with its token count), so a prefix that many
+pre-tokens share is scored once. Inserting a pre-token walks the nodes that are there and scores the others; its terminal
+keeps its count. The new pre-tokens of a batch are inserted in sorted order, so that a walk begins where the last word's
+path parts from it. At `most_nodes` nodes or `most_words` terminals the trie is emptied: that bounds memory (about 250
+bytes a node) and changes no count. Characters of a pre-token behind the first `most_length` are scored on its path but
+not kept as nodes, so that one run cannot fill the trie. A document's count is the sum over its pre-tokens. No shuffle is
+needed, whatever the number of distinct pre-tokens in the corpus.
 
 Scores are integers (millionths of a nat), so that sums are exact; a segmentation of equal score with fewer tokens wins.
-A piece at rank r of the public vocabulary has probability proportional to 1 / (r + 2); a character outside it costs a
-token for each of its UTF-8 bytes, each dearer than any piece.
+The public vocabularies have no trained unigram probabilities, so a piece at rank r has one proportional to 1 / (r + 2);
+a character outside it costs a token for each of its UTF-8 bytes, each dearer than any piece.
 
-Defined cases: null and empty texts count 0; repeated rows count each; very long runs take linear time; an empty table
-gives no row; other columns are ignored.
+Defined cases: null and empty texts count 0; repeated rows count each; very long runs take linear time and no more
+memory than themselves; ties count the fewest tokens; an empty table gives no row; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -72,22 +73,39 @@ class Lexicon:
 
 
 class Trie:
-    """The line of nodes down to the last inserted pre-token, and the terminals' counts."""
+    """Nodes with forward scores, shared by all words with their prefix, and the terminals' counts.
 
-    def __init__(self, lexicon: Lexicon, most_words: int = 500_000) -> None:
-        self.lexicon, self.most_words, self.counts = lexicon, most_words, {}
-        self.word, self.path = "", [0]
+    Nodes are numbers, 0 is the root; `child` leads from (node, character) to a node, `score` has each node's.
+    """
+
+    def __init__(self, lexicon: Lexicon, most_words: int = 500_000, most_nodes: int = 1_000_000, most_length: int = 256) -> None:
+        self.lexicon, self.most_words, self.most_nodes, self.most_length, self.counts = lexicon, most_words, most_nodes, most_length, {}
+        self.clear()
+
+    def clear(self) -> None:
+        self.counts.clear()
+        self.child: dict[int, int] = {}
+        self.score = [0]
+        self.word, self.path, self.nodes = "", [0], [0]
 
     def insert(self, word: str) -> int:
-        """Tokens of a pre-token."""
-        path, last, shared = self.path, self.word, 0
+        """Tokens of a pre-token; path and nodes hold the scores and the node numbers down to the last word inserted."""
+        path, nodes, last, shared = self.path, self.nodes, self.word, 0
         for a, b in zip(word, last):
             if a != b:
                 break
             shared += 1
-        del path[shared + 1 :]
+        del path[shared + 1 :], nodes[shared + 1 :]
+        child, score, kept = self.child, self.score, self.most_length
         steps, known, ends = self.lexicon.steps.get, self.lexicon.known.get, self.lexicon.ends
         for i in range(shared + 1, len(word) + 1):
+            key = -1
+            if i <= kept:
+                key = nodes[i - 1] << 21 | ord(word[i - 1])
+                if (node := child.get(key)) is not None:
+                    nodes.append(node)
+                    path.append(score[node])
+                    continue
             tail = word[i - 3 : i] if i > 2 else word[:i]
             one, two, three, longer = known(tail) or ends(tail)
             best = path[i - 1] + one
@@ -101,13 +119,17 @@ class Trie:
                 if (s := steps(word[i - n : i])) is not None and (v := path[i - n] + s) > best:
                     best = v
             path.append(best)
+            if key >= 0:
+                nodes.append(len(score))
+                child[key] = len(score)
+                score.append(best)
         self.word = word
         return -path[-1] & ((1 << SHIFT) - 1)
 
     def insert_all(self, words: set[str]) -> None:
         """Words, without their mark, into the table of terminals."""
-        if len(self.counts) + len(words) > self.most_words:
-            self.counts.clear()
+        if len(self.counts) + len(words) > self.most_words or len(self.score) > self.most_nodes:
+            self.clear()
         new = sorted(words.difference(self.counts))
         insert = self.insert
         self.counts.update(zip(new, [insert(MARK + w) for w in new]))
