@@ -1,7 +1,8 @@
 """Approximate nearest neighbours: several shifted Hilbert orderings of projected vectors, range-partitioned in Spark.
 
 Each of `curves` orderings projects vectors on `dims` random orthogonal directions, shifts and quantises the projections,
-and takes the Hilbert key. repartitionByRange deals every ordering to blocks of about `block_rows` vectors in key order.
+and takes the Hilbert key. repartitionByRange deals every ordering to blocks in key order: `block_rows` vectors each, or
+a twentieth of all (16 at least) if that is less, so that small tables are searched along the curves too.
 A query is compared, in double precision, with all rows of its own block and of the blocks around it that make up
 `window` of the ordering; its candidates from all orderings are merged and the nearest kept.
 
@@ -10,6 +11,8 @@ How much an ordering must hold depends on the data. On vectors without structure
 fixed count: recall then holds at every size. 12 curves with a tenth each give a recall over 0.95 there, comparing about
 two thirds of all rows with a query; clustered data reach it with less.
 
+A ranged block can be smaller or larger than asked, since Spark draws its bounds from a sample; windows count blocks.
+
 Equal vectors are searched as one, and expanded to their k + 1 smallest ids, so ties go to smaller ids however many equal
 vectors there are. Blocks bound memory: queries of a block are dealt to chunks where they are many.
 
@@ -91,7 +94,7 @@ def neighbours(df: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col:
                 yield pd.concat(made, ignore_index=True)
 
     n = reps.count()
-    parts = curves * max(1, -(-n // block_rows))
+    parts = curves * max(1, -(-n // min(block_rows, max(16, -(-n // 20)))))
     order = ["dim", "curve", "key", "vec_id"]
     keyed = reps.mapInPandas(key, "dim int, curve int, key long, vec_id long").repartitionByRange(parts, *order)
     keyed = cut(keyed.withColumn("block", F.spark_partition_id()).select("dim", "curve", "vec_id", "block"))
