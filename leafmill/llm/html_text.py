@@ -4,7 +4,9 @@ A page is parsed into leaf blocks: runs of text between block-level boundaries,
 features are its ancestors' tags and class or id words, its own tag, and its text's length, link share and ending. Labels
 are kept (the article) or not; weights are fitted by gradient on the likelihood of labelled pages (forward-backward),
 which html_pages makes: `train_pages` of them, the documented bound of the training set. Kept blocks are joined in page
-order. The work is a map over pages; the model is a small table of weights.
+order. The work is a map over pages; the model is a small table of weights. The features of the open elements are
+counted and their weights summed once, when an element opens, and taken back when it closes, so that a page takes time
+and memory in proportion to its length, however deep its nesting.
 
 Defined cases: null html counts as empty; a page without text or kept block gives an empty string; broken or unclosed
 markup is closed where its parent ends; scripts, styles, comments and attributes are never text; references are decoded
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 import functools
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -35,19 +38,26 @@ WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
 class Leaf:
-    __slots__ = ("path", "text", "linked")
+    """A block's text, the characters of it inside links, and of its ancestors the summed weights or (in training) the features."""
 
-    def __init__(self, path: tuple[str, ...], text: str, linked: int) -> None:
-        self.path, self.text, self.linked = path, text, linked
+    __slots__ = ("text", "linked", "score", "names", "tag")
+
+    def __init__(self, text: str, linked: int, score: float, names: list[str] | None, tag: str) -> None:
+        self.text, self.linked, self.score, self.names, self.tag = text, linked, score, names, tag
 
 
 class Leaves(HTMLParser):
-    """Leaf blocks of a page; path holds 'tag class id' of the open block-level elements."""
+    """Leaf blocks of a page. With weights, leaves have their ancestors' score; without, the ancestors' features."""
 
-    def __init__(self) -> None:
+    def __init__(self, weights: dict[str, float] | None = None) -> None:
         super().__init__(convert_charrefs=True)
+        self.weights = weights
         self.leaves: list[Leaf] = []
-        self.stack: list[tuple[str, str]] = []
+        self.stack: list[tuple[str, list[str], float]] = []  # tag, features that it opened, score before it
+        self.blocks: list[int] = []  # places of the block-level ones in stack
+        self.opened: Counter = Counter()  # open elements of a tag
+        self.active: set[str] = set()  # features of open elements
+        self.score = 0.0
         self.parts: list[str] = []
         self.links = self.linked = self.hidden = 0
 
@@ -55,38 +65,53 @@ class Leaves(HTMLParser):
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                self.leaves.append(Leaf(tuple(p for _, p in self.stack if p), text, self.linked))
+                tags = [self.stack[n][0] for n in self.blocks[-2:]]
+                own = [f"tag:{tags[-1]}" if tags else "tag:", f"pair:{'>'.join(tags)}"]
+                if not self.active & {"in:article", "in:main"}:
+                    own.append("loose")
+                if self.weights is None:
+                    self.leaves.append(Leaf(text, self.linked, 0.0, sorted(self.active.union(own)), tags[-1] if tags else ""))
+                else:
+                    self.leaves.append(Leaf(text, self.linked, self.score + sum(self.weights.get(f, 0.0) for f in own), None, tags[-1] if tags else ""))
             self.parts = []
         self.linked = 0
 
+    def push(self, tag: str, given: list[str]) -> None:
+        new, before = [], self.score
+        if tag in BLOCK:
+            self.blocks.append(len(self.stack))
+            new = [f for f in element_features(tag, given) if f not in self.active]
+            self.active.update(new)
+            if self.weights is not None:
+                self.score += sum(self.weights.get(f, 0.0) for f in new)
+        self.opened[tag] += 1
+        self.stack.append((tag, new, before))
+
     def pop(self, n: int) -> None:
-        for tag, _ in self.stack[n:]:
+        while len(self.stack) > n:
+            tag, new, self.score = self.stack.pop()
+            self.active.difference_update(new)
+            self.opened[tag] -= 1
             self.links -= tag == "a"
             self.hidden -= tag in ("script", "style", "svg")
-        del self.stack[n:]
+        while self.blocks and self.blocks[-1] >= n:
+            self.blocks.pop()
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in BLOCK:
             self.flush()
             ends = CLOSES.get(tag) or (CLOSES["p"] if tag in ("div", "ul", "ol", "table", "h1", "h2", "h3", "h4", "h5", "h6", "section", "article", "blockquote", "pre", "form", "footer", "header", "nav", "aside", "figure", "hr") else ())
-            n = len(self.stack)
-            while ends and n and (self.stack[n - 1][0] in ends or self.stack[n - 1][0] not in BLOCK):
-                n -= 1
-                if self.stack[n][0] in ends:
-                    self.pop(n)
+            while ends and self.blocks and self.stack[self.blocks[-1]][0] in ends:
+                self.pop(self.blocks[-1])
         if tag == "br":
             self.parts.append(" ")
         if tag in VOID:
             return
-        path = ""
-        if tag in BLOCK:
-            given = [v for k, v in attrs if k in ("class", "id", "role", "aria-label") and v]
-            path = f"{tag} {' '.join(given)}" if given else tag
-        elif tag == "a":
+        if tag == "a":
             self.links += 1
         elif tag in ("script", "style", "svg"):
             self.hidden += 1
-        self.stack.append((tag, path))
+        self.push(tag, [v for k, v in attrs if k in ("class", "id", "role", "aria-label") and v])
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
@@ -96,13 +121,13 @@ class Leaves(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag in BLOCK:
             self.flush()
-        for n in range(len(self.stack) - 1, -1, -1):
-            if self.stack[n][0] == tag:
-                self.pop(n)
-                return
-            if tag not in BLOCK and self.stack[n][0] in BLOCK:
-                return  # an inline element doesn't end a block
-        if tag == "br":
+        if self.opened[tag]:
+            # an inline element doesn't end a block
+            for n in range(len(self.stack) - 1, self.blocks[-1] if tag not in BLOCK and self.blocks else -1, -1):
+                if self.stack[n][0] == tag:
+                    self.pop(n)
+                    break
+        elif tag == "br":
             self.parts.append(" ")
 
     def handle_data(self, data: str) -> None:
@@ -112,11 +137,11 @@ class Leaves(HTMLParser):
                 self.linked += len(data)
 
 
-def leaves(html: str | None) -> list[Leaf]:
+def leaves(html: str | None, weights: dict[str, float] | None = None) -> list[Leaf]:
     if not html:
         return []
     for text in (html, html.replace("<![", "&lt;![")):  # the library asserts on unknown marked sections
-        p = Leaves()
+        p = Leaves(weights)
         try:
             p.feed(text)
             p.close()
@@ -127,17 +152,13 @@ def leaves(html: str | None) -> list[Leaf]:
     return p.leaves
 
 
-def path_features(path: tuple[str, ...]) -> list[str]:
-    tags = [p.split(" ", 1)[0] for p in path]
-    out = {f"in:{t}" for t in tags if t not in ("html", "body")}
-    out |= {f"tag:{tags[-1]}" if tags else "tag:", f"pair:{'>'.join(tags[-2:])}"}
-    for p in path:
-        if " " in p:
-            named = [w.lower() for w in WORD.findall(p.split(" ", 1)[1])]
-            out |= {f"name:{w}" for w in named} | {f"names:{a}-{b}" for a, b in zip(named, named[1:])}
-    if not out & {"in:article", "in:main"}:
-        out.add("loose")
-    return sorted(out)
+def element_features(tag: str, given: list[str]) -> set[str]:
+    """Features that an open block-level element gives to every block in it: its tag, and its names' words and word pairs."""
+    out = {f"in:{tag}"} if tag not in ("html", "body") else set()
+    if given:
+        named = [w.lower() for w in WORD.findall(" ".join(given))]
+        out |= {f"name:{w}" for w in named} | {f"names:{a}-{b}" for a, b in zip(named, named[1:])}
+    return out
 
 
 def text_features(leaf: Leaf) -> tuple[int, int, int, int]:
@@ -154,19 +175,13 @@ class Model:
 
     def __init__(self, weights: dict[str, float], start: np.ndarray, change: np.ndarray) -> None:
         self.weights, self.start, self.change = weights, start.tolist(), change.tolist()
-        self.paths: dict = {}
-        self.texts: dict = {}
-        self.held = 0  # characters of the paths
+        self.texts: dict = {}  # a bounded number of keys
 
-    def _sum(self, table: dict, key, names) -> float:
-        v = table.get(key)
+    def of_text(self, leaf: Leaf) -> float:
+        key = text_features(leaf)
+        v = self.texts.get(key)
         if v is None:
-            if table is self.paths:
-                self.held += sum(map(len, key))
-            if len(table) > 100_000 or table is self.paths and self.held > 1 << 26:
-                table.clear()
-                self.held = 0 if table is self.paths else self.held
-            v = table[key] = sum(self.weights.get(f, 0.0) for f in names(key))
+            v = self.texts[key] = sum(self.weights.get(f, 0.0) for f in names_of(key))
         return v
 
     def decode(self, blocks: list[Leaf]) -> list[int]:
@@ -177,7 +192,7 @@ class Model:
         s0 = s1 = 0.0
         back = []
         for i, leaf in enumerate(blocks):
-            e = self._sum(self.paths, leaf.path, path_features) + self._sum(self.texts, text_features(leaf), names_of)
+            e = leaf.score + self.of_text(leaf)
             if i == 0:
                 s0, s1 = self.start[0], self.start[1] + e
                 continue
@@ -189,7 +204,7 @@ class Model:
         return y[::-1]
 
     def extract(self, html: str | None) -> str:
-        blocks = leaves(html)
+        blocks = leaves(html, self.weights)
         return " ".join(x.text for x, y in zip(blocks, self.decode(blocks)) if y)
 
 
@@ -199,8 +214,8 @@ def trained(train_pages: int = 800, seed: int = 5, steps: int = 150, l2: float =
     for _ in range(train_pages):
         html, kept = maker.page()
         blocks, texts = leaves(html), {" ".join(t.split()) for t in kept}
-        pages.append([path_features(b.path) + names_of(text_features(b)) for b in blocks])
-        labels.append([int(b.text in texts and not b.path[-1:] == ("title",)) for b in blocks])
+        pages.append([b.names + names_of(text_features(b)) for b in blocks])
+        labels.append([int(b.text in texts and b.tag != "title") for b in blocks])
     index = {f: i for i, f in enumerate(sorted({f for p in pages for b in p for f in b}))}
     n, t = len(pages), max(map(len, pages))
     at = np.array([(i * t + j, index[f]) for i, p in enumerate(pages) for j, b in enumerate(p) for f in b])
