@@ -14,8 +14,9 @@ power s, and tables are added until such a pair misses them all with probability
 4. Counts are summed; alternating stars join the forests into components.
 
 Defined cases: vectors null, empty, zero or with null or non-finite components, and rows without label, link with
-nothing; vectors of unlike length link with nothing; rows of one vec_id are one vector each but never link to
-themselves; a null vec_id stands alone; an empty table gives no row; other columns are ignored.
+nothing; vectors of unlike length link with nothing; rows of one vec_id are one vector (of unlike ones the one whose
+label and components are first as JSON text), so n_links counts other ids once each, and every row gets its id's result;
+a null vec_id stands alone; an empty table gives no row; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -65,6 +66,8 @@ def keys(x: np.ndarray, rotations: np.ndarray, bits: int, count: int) -> np.ndar
 def near_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label", cosine: float = 0.98, miss: float = 1e-5, sample_rows: int = SAMPLE_ROWS, block: int = 256) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row."""
     d = usable(df, id_col, vec_col, F.col(label_col).cast("string").alias("label")).where("label is not null")
+    if df.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count("*").alias("n")).where("n > 1").head(1):
+        d = d.groupBy("vec_id").agg(F.min_by(F.struct("v", "label"), F.to_json(F.struct("label", "v"))).alias("r")).select("vec_id", "r.v", "r.label")
     d = cut(d)
     kind = d.schema["v"].dataType.simpleString()
     # equal vectors: their first id stands for all
