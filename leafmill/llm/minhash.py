@@ -18,8 +18,10 @@ donors. 25 bands of 5 registers are keys: two sets of Jaccard 0.85 miss every ba
 Memory of a task is bounded by a block, whatever the largest group. Links are 100 * intersection >= percent * union.
 
 Defined cases: null and empty texts and texts without words have n_shingles 0 and stand alone; fewer than five words are
-one shingle; rows of one doc_id are one document; a null doc_id stands alone and is kept; an empty table gives no row;
-other columns are ignored. Hash collisions apart (below 1e-9 for a document), sets are exact.
+one shingle; rows of one doc_id are one document, of which near_dedup keeps the row with the smallest hash of all its
+columns; a null doc_id stands alone and is kept; of equal texts and of every group the smallest doc_id stays; very long
+texts are read whole, their sets held one at a time; an empty table gives no row; other columns are ignored, whatever
+they are called. Hash collisions apart (below 1e-9 for a document), sets are exact.
 """
 
 from __future__ import annotations
@@ -224,6 +226,7 @@ def confirmed_links(sets: DataFrame, percent: int, block: int, hubs: int = 8, pr
         return edges
     big = cut(sets.join(large, "comp").withColumn("i", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / block)).cast("int")))
     blocks = big.select("comp", "i").distinct()
+    widest = -(-large.agg(F.max("n")).first()[0] // block)
 
     def beside(some: DataFrame, rows: DataFrame) -> DataFrame:
         """The rows of each block and, in every block of the component, the few of `some`."""
@@ -231,12 +234,15 @@ def confirmed_links(sets: DataFrame, percent: int, block: int, hubs: int = 8, pr
         return rows.withColumn("few", F.lit(False)).select("comp", "i", "id", "set", "few").unionByName(few.select("comp", "i", "id", "set", "few"))
 
     def first(order: list, most: int, rows: DataFrame) -> DataFrame:
-        """The first rows of each component, by blocks and then among these."""
+        """The first rows of each component, by blocks, then by 32 blocks, and so on."""
         from pyspark.sql.window import Window
 
-        for by in (["comp", "i"], ["comp"]):
-            rows = rows.withColumn("_lm_r", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("_lm_r") <= most).drop("_lm_r")
-        return rows
+        rows, left = rows.withColumn("_lm_i", F.col("i")), widest
+        while True:  # a task sees the first rows of 32 blocks or groups of blocks
+            rows = rows.withColumn("_lm_r", F.row_number().over(Window.partitionBy("comp", "_lm_i").orderBy(*order))).where(F.col("_lm_r") <= most).drop("_lm_r")
+            if left <= 1:
+                return rows.drop("_lm_i")
+            rows, left = rows.withColumn("_lm_i", F.floor(F.col("_lm_i") / 32).cast("int")), -(-left // 32)
 
     def likeness(g: pd.DataFrame) -> pd.DataFrame:
         few = g["few"].to_numpy()
@@ -302,10 +308,14 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     groups = near_groups(docs, id_col, text_col, **how)
     gone = cut(groups.where("not kept").select(F.col("doc_id").alias(id_col)).distinct())
     out = with_small(docs, gone, id_col, "left_anti")
-    repeated = docs.where(F.col(id_col).isNotNull()).groupBy(id_col).count().where("count > 1").head(1)
-    if not repeated:
+    repeated = docs.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col)).agg(F.count("*").alias("_lm_n")).where("_lm_n > 1").select(id_col)
+    repeated = cut(repeated)
+    if not repeated.head(1):
         return out
-    return out.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(out.where(F.col(id_col).isNull()))
+    again = with_small(out, repeated, id_col, "left_semi")
+    row = F.struct(*[F.col(f"`{c}`") for c in out.columns])
+    first = again.groupBy(id_col).agg(F.min_by(row, F.struct(F.xxhash64(F.to_json(row)), F.md5(F.to_json(row)))).alias("_lm_row")).select("_lm_row.*")
+    return with_small(out, repeated, id_col, "left_anti").unionByName(first)
 
 
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
