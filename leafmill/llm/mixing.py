@@ -9,10 +9,11 @@ about `block_tokens`, each with every source's share, and permuted within.
 Token positions are prefix sums by hashed buckets of some thousand rows, so a source with any share of the rows is
 spread over many tasks, and only per-source and per-bucket sums are windowed whole. The texts, if asked for, move once.
 
-Defined cases: a document's tokens are its words and one end mark, so empty and null texts weigh 1; null sources are a
-source of their own; repeated rows are mixed each; of equal permutation keys the smaller id is first; one source only, or
-sources of one size, gives natural weights; an empty table gives no row; columns of docs pass through whatever they are
-called unless the name starts with _lm_.
+Defined cases: a document's tokens are its words and one end mark, so empty and null texts weigh 1 and very long ones are
+one document of many tokens; null sources are a source of their own; repeated rows are mixed each; of equal permutation
+keys the smaller id, then the shorter document is first; one source only, or sources of one size, gives natural weights;
+an empty table gives no row; columns of docs pass through whatever they are called (mix's own columns get underscores at
+their end where a name is taken).
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import cut, hash_bucket, prefix_by_bucket, table, with_small
+from .common import cut, fresh, hash_bucket, prefix_by_bucket, table, with_small
 
 REPEAT_LIMIT, BLOCK_TOKENS, SEED = 2.0, 65_536, 17
 #: Halvings of the exponent's interval.
@@ -44,16 +45,16 @@ def weights(stats: DataFrame, repeat_limit: float | None = None, entropy: float
     """
     row = F.array_agg(F.col("_lm_tokens").cast("double"))
     one = stats.agg(row.alias("t"), F.sum("_lm_tokens").cast("double").alias("total")).select(F.expr("transform(t, x -> x / total)").alias("p"), "total")
+    low_half, high_half = "named_struct('lo', s.lo, 'hi', m)", "named_struct('lo', m, 'hi', s.hi)"
     if entropy is not None:
         z = "aggregate(p, 0D, (s, x) -> s + power(x, m))"
         met = f"ln({z}) - m * aggregate(p, 0D, (s, x) -> s + power(x, m) * ln(x)) / {z} >= {entropy!r}D"
-        keep = "if(ok, named_struct('lo', m, 'hi', h), named_struct('lo', l, 'hi', m))"  # the largest exponent that meets it
+        step = f"if({met}, {high_half}, {low_half})"  # to the largest exponent that meets it
     else:
         top, low = (f"{f}(transform(p, x -> power(x, m - 1)))" for f in ("array_max", "array_min"))
         use = f"{top} / {low}" if budget is None else f"{top} / aggregate(p, 0D, (s, x) -> s + power(x, m)) * {budget}D / total"
-        met = f"{use} <= {float(repeat_limit)!r}D"
-        keep = "if(ok, named_struct('lo', l, 'hi', m), named_struct('lo', m, 'hi', h))"  # the smallest that meets it
-    inner = f"transform(array((s.lo + s.hi) / 2), m -> {keep.replace('ok', f'({met})').replace(' h)', ' s.hi)').replace('l,', 's.lo,')})[0]"
+        step = f"if({use} <= {float(repeat_limit)!r}D, {low_half}, {high_half})"  # to the smallest that meets it
+    inner = f"transform(array((s.lo + s.hi) / 2), m -> {step})[0]"
     at = one.select("total", "p", F.expr(f"aggregate(sequence(1, {STEPS}), named_struct('lo', 0D, 'hi', 1D), (s, i) -> {inner})").alias("s"))
     end = "s.lo" if entropy is not None else "s.hi"
     got = at.select("total", F.expr(end).alias("a"), F.expr(f"transform(array({end}), m -> aggregate(p, 0D, (s, x) -> s + power(x, m)))[0]").alias("z"), F.expr(f"transform(array({end}), m -> array_min(transform(p, x -> power(x, m - 1))))[0]").alias("least")).first()
@@ -68,8 +69,15 @@ def weights(stats: DataFrame, repeat_limit: float | None = None, entropy: float
 
 def mix(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", tokens: Column | None = None, repeat_limit: float | None = REPEAT_LIMIT, entropy: float | None = None, budget: int | None = None, block_tokens: int = BLOCK_TOKENS, seed: int = SEED, bucket_rows: int = 4096) -> DataFrame:
     """A row for each use of a document: docs' columns, _lm_tok, _lm_epoch, _lm_block and _lm_slot (place in the block)."""
+    taken = docs.columns
+    place = {c: f"_lm_c{i}" for i, c in enumerate(taken)}
+    own = [fresh(c, taken) for c in ("_lm_tok", "_lm_epoch", "_lm_block", "_lm_slot")]
+    if tokens is None:
+        tokens = words(F.col("text"))
+    docs = docs.select(*[F.col(f"`{c}`").alias(place[c]) for c in taken], tokens.alias("_lm_given"))
+    source_col, id_col = place[source_col], place[id_col]
     source = F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("null"))
-    d = docs.withColumn("_lm_source", source).withColumn("_lm_tok", (words(F.col("text")) if tokens is None else tokens) + 1)
+    d = docs.withColumn("_lm_source", source).withColumn("_lm_tok", F.col("_lm_given") + 1)
     d = d.withColumn("_lm_h", keyed(seed, F.col(id_col)))
     stats = cut(d.groupBy("_lm_source").agg(F.sum("_lm_tok").alias("_lm_tokens"), F.ceil(F.count("*") / bucket_rows).alias("_lm_k")))
     plan = cut(weights(stats, repeat_limit, entropy, budget))
@@ -84,12 +92,12 @@ def mix(docs: DataFrame, source_col: str = "source", id_col: str = "doc_id", tok
     d = d.withColumn("_lm_block", F.least(F.floor(at * F.lit(float(blocks))), F.lit(blocks - 1)).cast("long"))
     order = Window.partitionBy("_lm_block").orderBy(keyed(seed + 1, F.col(id_col), F.col("_lm_epoch")), id_col, "_lm_epoch", "_lm_tok")
     d = d.withColumn("_lm_slot", F.row_number().over(order) - 1)
-    return d.select(*docs.columns, "_lm_tok", "_lm_epoch", "_lm_block", "_lm_slot")
+    return d.select(*[F.col(place[c]).alias(c) for c in taken], *[F.col(c).alias(o) for c, o in zip(("_lm_tok", "_lm_epoch", "_lm_block", "_lm_slot"), own)])
 
 
 def mixed(docs: DataFrame, **how) -> DataFrame:
     """docs' rows as often as the mixture uses them; columns unchanged."""
-    return mix(docs, **how).select(*docs.columns)
+    return mix(docs, **how).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
