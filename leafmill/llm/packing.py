@@ -7,8 +7,9 @@ together, so that one part-filled window at most is left; these meet in groups o
 are run together again. A group's last rest is split into powers of two, which need no padding. One pass tokenizes; only
 the pieces (some forty bytes each) are checkpointed, with ids for the left-over windows alone.
 
-Defined cases: null and empty texts give one piece, the closing id; repeated rows are packed again, each as its own
-document; an empty table gives no row; other columns are ignored; a null doc_id stays null.
+Defined cases: null and empty texts give one piece, the closing id; very long texts are encoded whole and cut into whole
+windows first; of open windows that a rest fills equally the older one takes it; repeated rows are packed again, each as
+its own document; an empty table gives no row; other columns are ignored; a null doc_id stays null.
 """
 
 from __future__ import annotations

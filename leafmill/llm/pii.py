@@ -3,20 +3,27 @@
 A value is found by a pattern, validated (Luhn sum, octets, area rules, mod 97, calendar), read as an integer of its
 format's domain, keyed-permuted by a Feistel network within that domain (cycle-walking past values that the format
 forbids), and written back with its own separators. Equal values get equal pseudonyms in every document and run, so they
-stay linked; the key's holder can invert them (`Cipher(key, ...).back`). The work is a map over rows: no shuffle.
+stay linked; the key's holder can invert them (`Cipher(key, ...).back`). The work is a map over rows: no shuffle. The key
+is a required argument. The registered query and the pipeline take it from the session's spark.leafmill.pii.secret; where
+that is unset they draw a random one for the driver's life, so that no printed key can invert their output.
 
 Kinds: card (13 to 19 digits, Luhn), ssn, phone, ipv4, date (day-month-year, year-month-day, month names), iban (mod
 97), email, secret (cloud key ids, password, token and key assignments).
 
-Defined cases: null text stays null, empty text stays empty; text without values is returned unchanged; repeated rows are
-treated each; an empty table gives no row; other columns pass through unchanged; texts are read whole.
+Defined cases: null text stays null, empty text stays empty; text without values is returned unchanged; where found values
+overlap, secrets, addresses and account numbers go before plain numbers, and of these the one that begins first wins (of
+one beginning, the shorter end); repeated rows are treated each; an empty table gives no row; other columns pass through
+unchanged, whatever they are called (a count column that would clash gets underscores at its end); very long texts are
+read whole.
 """
 
 from __future__ import annotations
 
 import datetime
+import functools
 import hashlib
 import re
+import secrets
 from collections import Counter
 from collections.abc import Callable, Iterator
 
@@ -24,10 +31,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches, table
+from .common import fresh, small_batches, table
 
-#: For tests and the registered query only; production passes a secret of its own.
-DEMO_KEY = b"leafmill demonstration key"
+#: The session setting that holds the key (its name makes Spark hide it in its pages).
+KEY_SETTING = "spark.leafmill.pii.secret"
 ROUNDS = 8
 
 MONTHS = ["January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December"]
@@ -114,7 +121,7 @@ class Pseudonyms:
     EMAIL = re.compile(r"[A-Za-z0-9_][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
     SECRET = re.compile(r"AKIA[A-Z0-9]{16}(?![A-Z0-9])|(?:password|passwd|pwd|secret|token|api_?key)[\"']?\s*[=:]\s*[\"']?([A-Za-z0-9+/_.-]{8,})", re.I)
 
-    def __init__(self, key: bytes = DEMO_KEY, back: bool = False, most: int = 100_000) -> None:
+    def __init__(self, key: bytes, back: bool = False, most: int = 100_000) -> None:
         self.key, self.way, self.most = key, "back" if back else "forth", most
         self.ciphers: dict = {}
         self.known: dict = {}
@@ -284,7 +291,18 @@ def drop_overlaps(spans: list[tuple[int, int, str]]) -> list[tuple[int, int, str
     return out
 
 
-def pseudonymise(docs: DataFrame, text_col: str = "text", key: bytes = DEMO_KEY, found_col: str | None = None) -> DataFrame:
+@functools.cache
+def _drawn() -> bytes:
+    return secrets.token_bytes(32)
+
+
+def key_of(spark: SparkSession) -> bytes:
+    """The key in the session's settings, or else one drawn for the life of this driver."""
+    given = spark.conf.get(KEY_SETTING, None)
+    return given.encode() if given else _drawn()
+
+
+def pseudonymise(docs: DataFrame, key: bytes, text_col: str = "text", found_col: str | None = None) -> DataFrame:
     """docs with values in text_col replaced; found_col, if given, gets their number."""
     small_batches(docs.sparkSession)
     names = docs.columns
@@ -306,13 +324,13 @@ def pseudonymise(docs: DataFrame, text_col: str = "text", key: bytes = DEMO_KEY,
             yield pa.RecordBatch.from_arrays([*cols, pa.array(n, pa.int64())], [*b.schema.names, "_lm_n"])
 
     out = d.mapInArrow(run, ", ".join([*kinds, "_lm_n long"]))
-    out = out.select(*[F.col(f"_lm_{i}").alias(c) for i, c in enumerate(names)], *([F.col("_lm_n").alias(found_col)] if found_col else []))
+    out = out.select(*[F.col(f"_lm_{i}").alias(c) for i, c in enumerate(names)], *([F.col("_lm_n").alias(fresh(found_col, names))] if found_col else []))
     return out
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pseudonymise(docs, found_col="n_values")
+    return pseudonymise(docs, key_of(spark), found_col="n_values")
 
 
 QUERIES = {"op8_pii": op8_pii}

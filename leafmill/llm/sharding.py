@@ -7,8 +7,10 @@ the largest spread are combined, oppositely ordered, until one is left. More ite
 more than a small share of a shard, so that the last differencing can still level the heavy groups; a hashed sample of
 `sand` light groups stays unbundled at each level, which lets it level the last bytes.
 
-Defined cases: null texts are one group of 8 bytes a row; empty texts likewise; repeated rows count each; an empty table
-gives no row; fewer groups than shards leave shards empty; other columns are ignored.
+Defined cases: null texts are one group of 8 bytes a row; empty texts likewise; very long texts count by their bytes and
+are hashed where they lie, so no text moves; repeated rows count each; of items of equal size the smaller digest comes
+first, of equal spreads the older partial partition, and slots go by a hash of the row, then its id; an empty table gives
+no row; fewer groups than shards leave shards empty; other columns are ignored.
 """
 
 from __future__ import annotations
