@@ -29,11 +29,13 @@ from pyspark.sql import functions as F
 from .common import cut, fresh, small_batches, table
 
 BITS, ORDERS = 18, (3, 4, 5)
+#: Characters of a text that are hashed at a time.
+SLICE = 1 << 17
 #: Documented bound: training rows for each of the two labels.
 TRAIN_ROWS = 3000
 
 
-def places(text: str, slice_chars: int = 1 << 20) -> Iterator[np.ndarray]:
+def places(text: str, slice_chars: int = SLICE) -> Iterator[np.ndarray]:
     """Hashed n-grams of the whole text between two spaces, with repeats, slice by slice."""
     text = f" {text.lower()} "
     for at in range(0, len(text), slice_chars):
@@ -73,8 +75,6 @@ class Sample:
         bits = [i for i, r in enumerate(rows) if len(r) == 1 << BITS - 3]
         self.order, self.n_lists, self.piece = np.array(lists + bits, int), len(lists), piece
         self.col = np.frombuffer(b"".join(rows[i] for i in lists), "<i4")
-        if len(self.col) < 1 << 24:
-            self.col = self.col.astype(np.intp)  # what indexing takes, made once where that costs little memory
         self.end = np.concatenate([[0], np.cumsum([len(rows[i]) // 4 for i in lists], dtype=np.int64)])
         self.bits = [np.frombuffer(rows[i], np.uint8) for i in bits]
 
@@ -140,7 +140,7 @@ def minimise(fn, x: np.ndarray, steps: int, memory: int = 8, least: float = 1e-2
     return x
 
 
-def fit(rows: list[bytes], labels: np.ndarray, odds: float, l2: float = 0.1, spread: float = 0.02, steps: int = 30) -> tuple[np.ndarray, float]:
+def fit(rows: list[bytes], labels: np.ndarray, odds: float, l2: float = 0.1, spread: float = 0.02, steps: int = 40) -> tuple[np.ndarray, float]:
     """Weight of each place and intercept; rows: packed distinct places; odds: of label 1 among all training rows.
 
     A ratio's sampling variance is about the sum of its two counts' inverses. The ratio is shrunk as the posterior mean
@@ -172,7 +172,7 @@ class Evidence:
         self.weight, self.last = weight.astype(np.float64), np.zeros(1 << BITS, np.int64)
 
     def __call__(self, text: str) -> float:
-        if len(text) > 1 << 20:
+        if len(text) > SLICE // 4:  # lower case may be longer
             return float(self.weight[features(text)].sum())
         (p,) = places(text)
         i = np.arange(len(p))
@@ -197,7 +197,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([pack_places(features(t)) for t in b.column(2).to_pylist()], pa.binary())], ["doc_id", "y", "f"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([pack_places(features(t.as_py())) for t in b.column(2)], pa.binary())], ["doc_id", "y", "f"])
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = {}
@@ -205,17 +205,19 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             for i, y, f in zip(*(c.to_pylist() for c in b.columns)):
                 if i not in got or (-len(f), f) < (-len(got[i][1]), got[i][1]):
                     got[i] = (y, f)
-        ids = sorted(got)
-        if len({got[i][0] for i in ids}) < 2:
+        kept = [got.pop(i) for i in sorted(got)]
+        if len({y for y, _ in kept}) < 2:
             p = (n1 + 1) / (n1 + n0 + 2)
             w, b0 = np.zeros(1 << BITS, np.float32), math.log(p / (1 - p))
         else:
-            w, b0 = fit([got[i][1] for i in ids], np.array([got[i][0] for i in ids], float), n1 / n0)
+            y = np.array([y for y, _ in kept], float)
+            w, b0 = fit([kept.pop()[1] for _ in range(len(kept))][::-1], y, n1 / n0)
         yield pa.RecordBatch.from_arrays([pa.array([w.tobytes()], pa.binary()), pa.array([b0])], ["w", "b"])
 
     made = rows.select("doc_id", "y", "text").mapInArrow(one, "doc_id long, y int, f binary")
-    # of repeated rows one goes on, whatever their number
-    made = made.groupBy("doc_id", "y").agg(F.min_by("f", F.struct(-F.length("f"), "f")).alias("f"))
+    if text.select("doc_id").join(F.broadcast(sample.select("doc_id")), "doc_id").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").head(1):
+        # of repeated rows one goes on, whatever their number
+        made = made.groupBy("doc_id", "y").agg(F.min_by("f", F.struct(-F.length("f"), "f")).alias("f"))
     made = made.repartition(1).mapInArrow(whole, "w binary, b double").first()
     return np.frombuffer(made.w, np.float32), made.b
 
