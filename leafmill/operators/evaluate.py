@@ -10,17 +10,22 @@ from ..functions import text as T
 
 
 def pairs(gold: DataFrame, pred: DataFrame) -> DataFrame:
-    """Tables (page, table_id, headers, rows) of a page paired by their place in the order of ids."""
-    place = F.row_number().over(Window.partitionBy("page").orderBy(F.col("table_id").cast("string")))
-    g = gold.where("page > 0").select("page", place.alias("n"), F.col("headers").alias("gh"), F.col("rows").alias("gr"))
-    p = pred.where("page > 0").select("page", place.alias("n"), F.col("headers").alias("ph"), F.col("rows").alias("pr"))
-    return g.join(p, ["page", "n"])
+    """Tables (doc, page, table_id, headers, rows) of a document's page paired by their place in the order of ids.
+
+    Only ids are ranked; grids join their places afterwards.
+    """
+    place = F.row_number().over(Window.partitionBy("doc", "page").orderBy(F.col("table_id").cast("string")))
+    ids = lambda d, c: d.where("page > 0").select("doc", "page", "table_id").withColumn("n", place).withColumnRenamed("table_id", c)
+    j = ids(gold, "g_id").join(ids(pred, "p_id"), ["doc", "page", "n"])
+    g = gold.select("doc", "page", F.col("table_id").alias("g_id"), F.col("headers").alias("gh"), F.col("rows").alias("gr"))
+    p = pred.select("doc", "page", F.col("table_id").alias("p_id"), F.col("headers").alias("ph"), F.col("rows").alias("pr"))
+    return j.join(g, ["doc", "page", "g_id"]).join(p, ["doc", "page", "p_id"]).select("doc", "page", "n", "gh", "gr", "ph", "pr")
 
 
 def metrics(gold: DataFrame, pred: DataFrame) -> DataFrame:
     """One row: page-level detection, shape matches, cell accuracy, share of gold numbers that parse in the prediction."""
-    pages = lambda d, c: d.where("page > 0").select("page").distinct().withColumn(c, F.lit(1))
-    both = pages(gold, "g").join(pages(pred, "p"), "page", "full_outer").agg(F.count_if(F.col("g").isNotNull() & F.col("p").isNotNull()).alias("tp"), F.count_if(F.col("g").isNull()).alias("fp"), F.count_if(F.col("p").isNull()).alias("fn"))
+    pages = lambda d, c: d.where("page > 0").select("doc", "page").distinct().withColumn(c, F.lit(1))
+    both = pages(gold, "g").join(pages(pred, "p"), ["doc", "page"], "full_outer").agg(F.count_if(F.col("g").isNotNull() & F.col("p").isNotNull()).alias("tp"), F.count_if(F.col("g").isNull()).alias("fp"), F.count_if(F.col("p").isNull()).alias("fn"))
     m = pairs(gold, pred)
     norm = lambda c: F.lower(T.squeeze(c))
     rows = F.arrays_zip(F.slice("gr", F.lit(1), F.least(F.size("gr"), F.size("pr"))).alias("g"), F.slice("pr", F.lit(1), F.least(F.size("gr"), F.size("pr"))).alias("p"))

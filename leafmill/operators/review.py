@@ -117,7 +117,7 @@ def risk(tables: DataFrame, flags: DataFrame) -> DataFrame:
     third = lambda c: F.least(F.col(c) / 3.0, F.lit(1.0))
     depth = F.when(F.col("depth") >= 3, 1.0).when(F.col("depth") == 2, 0.6).otherwise(0.0)
     r = 0.45 * F.greatest("q.empty", "q.repeated", "q.unstable") + 0.20 * third("missing") + 0.15 * depth + 0.20 * third("flags")
-    return d.withColumn("risk", F.greatest(F.lit(0.0), F.least(F.lit(1.0), r)))
+    return d.withColumn("risk", F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), r)), 4))
 
 
 def work_list(tables: DataFrame, most: int = 0) -> DataFrame:

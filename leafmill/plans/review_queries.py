@@ -15,7 +15,7 @@ from .views import HEADERS, V_FRAGMENT, V_GRID, V_REVIEW, table, v_fragment, v_g
 
 def _eval_sides(spark, sf):
     g, p = _gold_pred(spark, sf)
-    side = lambda d: d.select("page", F.col("ord").alias("table_id"), "headers", "rows")
+    side = lambda d: d.select("doc", "page", F.col("ord").alias("table_id"), "headers", "rows")
     return side(g), side(p.where("page <> 7"))
 
 
@@ -66,7 +66,7 @@ def backlog_gates(spark, sf):
 def risk_score(spark, sf):
     g = v_grid(spark, sf).select("table_id", G.quality(F.col("headers"), F.col("rows")).alias("q"), (F.col("table_id") % 5).cast("int").alias("missing"), (F.col("table_id") % 4).cast("int").alias("depth"))
     flags = v_fragment(spark, sf).select(F.col("frag").alias("table_id"), F.explode(F.when(F.col("frag") % 3 == 0, F.array(F.lit("warn"), F.lit("Error"), F.lit("info"))).otherwise(F.array(F.lit("info")))).alias("severity"))
-    return R.risk(g, flags).select("table_id", "flags", F.round("risk", 9).alias("risk"))
+    return R.risk(g, flags).select("table_id", "flags", "risk")
 
 
 def rectify_worklist(spark, sf):
@@ -133,12 +133,12 @@ a2 AS (SELECT *, CASE WHEN len(blocking) > 0 THEN 'reject' WHEN model_action = '
 adj AS (SELECT *, CASE WHEN model_action <> 'review' THEN 'n/a' WHEN final_action = 'accept' THEN 'refuted' ELSE 'supported' END AS resolution FROM a2)"""
 HIST = "hist AS (SELECT kind, key, count(*) AS n FROM (SELECT 'mode' AS kind, unnest(modes) AS key FROM adj UNION ALL SELECT 'review_reason', unnest(modes) FROM adj WHERE model_action = 'review' UNION ALL SELECT 'blocking', unnest(blocking) FROM adj) GROUP BY ALL)"
 NUMRE = r"[-+]?[0-9]*\.?[0-9]+([eE][-+]?[0-9]+)?"
-EVAL = rf"""{GOLD}, e1 AS (SELECT page, headers, rows, row_number() OVER (PARTITION BY page ORDER BY ord::varchar) AS n FROM g), e2 AS (SELECT page, headers, rows, row_number() OVER (PARTITION BY page ORDER BY ord::varchar) AS n FROM p WHERE page <> 7),
-m AS (SELECT page, n, e1.headers AS gh, e1.rows AS gr, e2.headers AS ph, e2.rows AS pr FROM e1 JOIN e2 USING (page, n)),
+EVAL = rf"""{GOLD}, e1 AS (SELECT doc, page, headers, rows, row_number() OVER (PARTITION BY doc, page ORDER BY ord::varchar) AS n FROM g), e2 AS (SELECT doc, page, headers, rows, row_number() OVER (PARTITION BY doc, page ORDER BY ord::varchar) AS n FROM p WHERE page <> 7),
+m AS (SELECT page, n, e1.headers AS gh, e1.rows AS gr, e2.headers AS ph, e2.rows AS pr FROM e1 JOIN e2 USING (doc, page, n)),
 c AS (SELECT lower(trim(coalesce(gr[i][j], ''))) AS a, lower(trim(coalesce(pr[i][j], ''))) AS b FROM (SELECT *, unnest(range(1, least(len(gh), len(ph)) + 1)) AS j FROM (SELECT *, unnest(range(1, least(len(gr), len(pr)) + 1)) AS i FROM m))),
 k AS (SELECT count(*) AS cells, count(*) FILTER (a = b) AS same, count(*) FILTER (regexp_matches(a, '{NUMRE}')) AS numbers, count(*) FILTER (regexp_matches(a, '{NUMRE}') AND regexp_matches(b, '{NUMRE}')) AS parsed FROM c),
 s AS (SELECT count(*) AS pairs, count(*) FILTER (len(gr) = len(pr)) AS rows_ok, count(*) FILTER (len(gh) = len(ph)) AS cols_ok FROM m),
-d AS (SELECT count(*) FILTER (x.page IS NOT NULL AND y.page IS NOT NULL) AS tp, count(*) FILTER (x.page IS NULL) AS fp, count(*) FILTER (y.page IS NULL) AS fn FROM (SELECT DISTINCT page FROM g) x FULL JOIN (SELECT DISTINCT page FROM p WHERE page <> 7) y ON x.page = y.page),
+d AS (SELECT count(*) FILTER (x.page IS NOT NULL AND y.page IS NOT NULL) AS tp, count(*) FILTER (x.page IS NULL) AS fp, count(*) FILTER (y.page IS NULL) AS fn FROM (SELECT DISTINCT doc, page FROM g) x FULL JOIN (SELECT DISTINCT doc, page FROM p WHERE page <> 7) y ON x.doc = y.doc AND x.page = y.page),
 em AS (SELECT (SELECT count(*) FROM g) AS gold_tables, (SELECT count(*) FROM p WHERE page <> 7) AS pred_tables, tp AS matched_pages, tp / greatest(tp + fp, 1) AS precision, tp / greatest(tp + fn, 1) AS recall, pairs AS matched_tables, rows_ok / greatest(pairs, 1) AS row_count_match, cols_ok / greatest(pairs, 1) AS column_count_match,
   same / greatest(cells, 1) AS cell_accuracy, CASE WHEN numbers = 0 THEN 1.0 ELSE parsed / numbers END AS numeric_parse, numbers AS numeric_cells FROM d, s, k)"""
 AVG = "avg({0}::decimal(12,6))"
@@ -176,5 +176,5 @@ SELECT section, name, round(actual, 5) AS actual, target, pass FROM r""",
 from .table_queries import Q  # noqa: E402
 
 SQL["risk_score"] = f"""WITH {Q}, f AS (SELECT o_orderkey AS table_id, 2 AS n FROM orders WHERE o_orderkey % 3 = 0)
-SELECT table_id, coalesce(n, 0)::bigint AS flags, round(greatest(0, least(1, 0.45::double * greatest(empty, repeated, unstable) + 0.20::double * least(table_id % 5 / 3.0::double, 1) + 0.15::double * (CASE table_id % 4 WHEN 3 THEN 1.0 WHEN 2 THEN 0.6 ELSE 0 END)::double + 0.20::double * least(coalesce(n, 0) / 3.0::double, 1))), 9) AS risk FROM q LEFT JOIN f USING (table_id)"""
+SELECT table_id, coalesce(n, 0)::bigint AS flags, round(greatest(0, least(1, 0.45::double * greatest(empty, repeated, unstable) + 0.20::double * least(table_id % 5 / 3.0::double, 1) + 0.15::double * (CASE table_id % 4 WHEN 3 THEN 1.0 WHEN 2 THEN 0.6 ELSE 0 END)::double + 0.20::double * least(coalesce(n, 0) / 3.0::double, 1))), 4) AS risk FROM q LEFT JOIN f USING (table_id)"""
 SQL["rectify_worklist"] = f"WITH {Q} SELECT * FROM (SELECT table_id % 97 AS doc, table_id, row_number() OVER (PARTITION BY table_id % 97 ORDER BY empty * (table_id % 3) DESC, table_id)::int AS place FROM q) WHERE place <= 4"
