@@ -18,8 +18,12 @@ TABLE_NUMBER = r"(?i)\b(?:table|tab\.?)\s*([0-9ivxlcdm]+)\b"
 CONTINUED = r"(?i)\bcont(?:inued)?\b"
 NUMBER = r"[-+]?[0-9]*\.?[0-9]+(?:[eE][-+]?[0-9]+)?"
 NUMERICISH = r"(?i)^[-+]?[0-9]+(?:\.[0-9]+)?(?:e[-+]?[0-9]+)?$"
-# Forms of DOIs.
-DOI = r"10\.[0-9]{4,9}/[-._;()/:a-zA-Z0-9]+"
+# Forms of DOIs and of what precedes and follows them.
+DOI = r"10\.[0-9]{4,9}/[^\s\"'<>]+"
+DOI_PREFIX = r"(?i)^(?:https?://(?:dx\.)?doi\.org/|doi:)"
+DOI_TRAILING = r"[.,;:)\]}>\"']+$"
+# Tokens that are units, not codes.
+UNITISH = r"(?i)^(?:pa|wt|mol|kg|g|mg|ml|l|m|mm|cm|nm|s|ms|hz|k|c)$"
 # What stands for no value.
 UNKNOWN = ("unknown", "n/a", "na", "none", "null", "-")
 
@@ -28,6 +32,11 @@ def blank(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 
 
+def strip(c: Column) -> Column:
+    """White space of any kind off the ends."""
+    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+
+
 def squeeze(c: Column) -> Column:
     """Runs of white space as one space, none at the ends."""
     return F.trim(F.regexp_replace(blank(c), r"(?U)\s+", " "))
@@ -109,14 +118,27 @@ def two_sentences(c: Column, sentences: int = 2, most: int = 480) -> Column:
 
 
 def normalize_doi(c: Column) -> Column:
-    t = F.regexp_replace(F.trim(blank(c)), r"(?i)^(?:https?://(?:dx\.)?doi\.org/|doi:\s*)", "")
-    t = F.regexp_replace(t, r"^[\s<>{}\[\]()]+|[\s<>{}\[\]()]+$", "")
-    return F.lower(F.trim(F.regexp_replace(t, r"[.,;:)\]}>]+$", "")))
+    t = F.regexp_replace(strip(blank(c)), DOI_PREFIX, "")
+    t = F.regexp_replace(strip(t), r"^[<>{}\[\]()]+|[<>{}\[\]()]+$", "")
+    return F.lower(strip(F.regexp_replace(t, DOI_TRAILING, "")))
 
 
 def doi_candidates(c: Column) -> Column:
-    """Distinct normalised DOIs of a text: as written first, then of its URL-decoded form."""
-    both = F.concat(*[F.regexp_extract_all(blank(t), F.lit(f"({DOI})"), F.lit(1)) for t in (c, F.try_url_decode(c))])
+    """Distinct normalised DOIs of a text, as written first, then of its URL-decoded form: all of it, those in it, and of a URL the `doi` parameters and the path behind doi.org."""
+    url = r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]+"
+
+    def found(t: Column) -> Column:
+        query = F.regexp_extract(t, url + r"[^?#]*\?([^#]*)", 1)
+        given = F.transform(F.filter(F.split(query, "&"), lambda x: x.startswith("doi=")), lambda x: F.try_url_decode(unstray(F.substring(x, 5, 1 << 30))))
+        path = F.regexp_replace(F.regexp_extract(t, r"(?i)^[a-z][a-z0-9+.\-]*://[^/?#]*doi\.org[^/?#]*/+([^?#]*)", 1), ";[^/]*$", "")
+        return F.concat(F.array(t), F.regexp_extract_all(t, F.lit(f"({DOI})"), F.lit(1)), given, F.array(path))
+
+    def unstray(t: Column) -> Column:
+        return F.regexp_replace(t, "%(?![0-9A-Fa-f]{2})", "%25")
+
+    raw = strip(blank(c))
+    decoded = F.coalesce(F.try_url_decode(F.replace(unstray(raw), F.lit("+"), F.lit("%2B"))), raw)
+    both = F.concat(found(raw), F.when(F.contains(raw, F.lit("%")), found(decoded)).otherwise(F.array().cast("array<string>")))
     return F.array_distinct(F.filter(F.transform(both, normalize_doi), lambda x: x.rlike(f"^{DOI}$")))
 
 
@@ -198,8 +220,7 @@ def slug(c: Column) -> Column:
 def is_code(c: Column) -> Column:
     """Whether a short token names something (a sample, a polymer) rather than being a word, number or unit."""
     letters, upper, digits = (F.length(F.regexp_replace(c, p, "")) for p in ("[^A-Za-z]", "[^A-Z]", "[^0-9]"))
-    unitish = c.rlike(r"(?i)^(?:pa|wt|mol|g|kg|mg|ml|dl|l|mm|cm|nm|m|s|h|min|k|c|ppm|rpm|mpa|kpa|gpa)$")
-    return c.rlike(r"^[A-Za-z][A-Za-z0-9\-]{0,11}$") & ~unitish & ~((digits == 0) & (letters <= 1)) & (upper / letters >= 0.5)
+    return c.rlike(r"^[A-Za-z][A-Za-z0-9\-]{0,11}$") & ~c.rlike(UNITISH) & ~((digits == 0) & (letters <= 1)) & (upper / letters >= 0.5)
 
 
 def is_json_object(c: Column) -> Column:

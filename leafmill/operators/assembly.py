@@ -9,9 +9,8 @@ from ..functions import grid as G
 from ..functions import text as T
 from .pages import MARKDOWN_HEADING, PLAIN_HEADING, page_texts
 
-# Texts that stand for a missing answer; words of addresses in author lines.
+# Texts that stand for a missing answer.
 PLACEHOLDERS = ("string", "<summary text>", "<topic>", "<section title>", "<section summary>", "...", "…")
-AFFILIATION = "(?i)university|department|institute|laborator|school|college|center|centre|faculty|academy"
 
 
 def in_order(order: list[str], value: Column) -> Column:
@@ -101,23 +100,26 @@ def totals(statuses: DataFrame, tables: DataFrame) -> DataFrame:
     return d.rollup("doc").agg(*[F.sum(c).alias(c) for c in cols])
 
 
-def abstract(line_rows: DataFrame) -> DataFrame:
-    """(doc, abstract) from lines (doc, page, idx, line): the lines below an 'Abstract' heading up to a blank line, heading or keywords; else the first paragraph; two sentences of it."""
+def abstract(line_rows: DataFrame, most_pages: int = 5, first_pages: int = 2) -> DataFrame:
+    """(doc, abstract) from lines (doc, page, idx, line): two sentences of the lines below 'Abstract' headings up to a blank line, the page's end, another heading or keywords; else of the first paragraph of the first pages.
+
+    Windows run over the lines of a document's first pages, which must fit a task.
+    """
     from pyspark.sql.window import Window
 
     w = Window.partitionBy("doc").orderBy("page", "idx")
-    d = line_rows.where("page <= 5").withColumn("title", F.col("line").rlike(r"(?i)^(?:#{1,6}\s*)?abstract\s*:?$"))
-    d = d.withColumn("head", F.col("line").rlike(MARKDOWN_HEADING) | F.col("line").rlike(PLAIN_HEADING) | F.lower("line").startswith("keywords"))
-    d = d.withColumn("after", F.sum(F.col("title").cast("int")).over(w)).withColumn("text", T.clean_markdown_line(F.col("line")))
-    said = (F.col("text") != "") & ~F.col("head")
-    blank = F.col("line") == ""
-    for kind, inside, ends in (("abs", F.col("after") == 1, blank | F.col("head")), ("first", F.lit(True), blank)):
-        part = Window.partitionBy("doc", F.when(inside, 1)).orderBy("page", "idx")
-        begun = F.sum((said & inside).cast("int")).over(part)
-        d = d.withColumn(f"{kind}_n", begun)
-        d = d.withColumn(f"{kind}_stop", F.max(F.when(inside & (F.col(f"{kind}_n") > 0) & ends, 1).otherwise(0)).over(part))
-    keep = lambda kind, inside: F.array_join(F.filter(in_order(["page", "idx"], F.when(inside & said & (F.col(f"{kind}_stop") == 0), F.col("text"))), lambda x: x.isNotNull()), " ")
-    g = d.groupBy("doc").agg(keep("abs", F.col("after") == 1).alias("a"), keep("first", F.lit(True)).alias("f"))
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    count = lambda c, over: F.coalesce(F.sum(c.cast("int")).over(over), F.lit(0))
+    d = line_rows.where(F.col("page") <= most_pages).withColumn("named", F.col("line").rlike(r"(?i)^(?:#{1,6}\s*)?abstract\s*:?$"))
+    d = d.withColumn("marked", F.col("line").rlike(MARKDOWN_HEADING) | F.lower("line").rlike("^# page [0-9]+$")).withColumn("text", T.clean_markdown_line(F.col("line")))
+    d = d.withColumn("on", count(F.col("named"), before) > 0).withColumn("turn", F.coalesce(F.lag("page").over(w) != F.col("page"), F.lit(False)))
+    ends = F.col("on") & ~F.col("named") & (F.col("marked") | F.col("line").rlike(PLAIN_HEADING) | F.lower("line").startswith("keywords"))
+    takes = F.col("on") & ~F.col("named") & (F.col("line") != "") & (F.col("text") != "") & ~ends
+    starts = (F.col("page") <= first_pages) & (F.col("line") != "") & ~F.col("marked") & (F.col("text") != "") & ~F.lower("text").rlike("^(?:keywords|doi:)")
+    d = d.withColumn("takes", takes).withColumn("starts", starts).withColumn("a_n", count(F.col("takes"), before)).withColumn("f_n", count(F.col("starts"), before))
+    d = d.withColumn("a_end", count(ends | (F.col("turn") & F.col("on")) | ((F.col("line") == "") & (F.col("a_n") > 0)), w) > 0).withColumn("f_end", count((F.col("turn") | (F.col("line") == "")) & (F.col("f_n") > 0), w) > 0)
+    keep = lambda when: F.array_join(F.filter(in_order(["page", "idx"], F.when(when, F.col("text"))), lambda x: x.isNotNull()), " ")
+    g = d.groupBy("doc").agg(keep(F.col("takes") & ~F.col("a_end")).alias("a"), keep(F.col("starts") & ~F.col("f_end")).alias("f"))
     return g.select("doc", T.two_sentences(F.when(F.col("a") != "", F.col("a")).otherwise(F.col("f"))).alias("abstract"))
 
 
@@ -133,12 +135,6 @@ def is_placeholder(c: Column) -> Column:
     return (t == "") | t.isin(*PLACEHOLDERS) | t.rlike(r"^[._\- ]+$")
 
 
-def is_person(c: Column) -> Column:
-    t = F.trim(T.blank(c))
-    words = F.filter(F.transform(F.split(t, r"\s+"), lambda x: F.regexp_replace(x, r"^[.,*]+|[.,*]+$", "")), lambda x: x != "")
-    return F.length(t).between(3, 70) & ~t.rlike("(?i)@|http|[0-9]") & ~t.rlike(AFFILIATION) & F.size(words).between(2, 5) & F.forall(words, lambda x: x.rlike("^(?:[A-Za-z]|[A-Z][A-Za-z'`-]*)$"))
-
-
 def snake(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(T.blank(c), "[^A-Za-z0-9]+", "_"), "^_+|_+$", "")
 
@@ -166,7 +162,7 @@ def message_parts(text: Column, labels: Column) -> Column:
     """struct(title, excerpt, points, pdf, request, confirm, link): first line without leading signs, 180 characters, points asked for, and where buttons are (-1: nowhere)."""
     lines = F.filter(F.transform(F.split(T.blank(text), "\n"), lambda x: F.trim(x)), lambda x: x != "")
     where = lambda p: (F.coalesce(F.array_position(F.transform(labels, lambda x: x.rlike(p)), True), F.lit(0)) - 1).cast("int")
-    points = F.filter(F.transform(labels, lambda x: F.nullif(F.regexp_extract(x, r"(?i)([0-9]+)\s*points?", 1), F.lit(""))), lambda x: x.isNotNull())
+    points = F.filter(F.transform(labels, lambda x: F.nullif(F.regexp_extract(x, r"(?i)([0-9]+)\s*pts?", 1), F.lit(""))), lambda x: x.isNotNull())
     return F.struct(
         F.trim(F.regexp_replace(F.coalesce(F.get(lines, F.lit(0)), F.lit("")), r"^[^A-Za-z0-9]+", "")).alias("title"), F.substring(T.squeeze(text), 1, 180).alias("excerpt"), F.get(points, F.lit(0)).cast("int").alias("points"),
         where("(?i)pdf").alias("pdf"), where("(?i)request").alias("request"), where("(?i)confirm|✅").alias("confirm"), where("(?i)link|🔗").alias("link"),

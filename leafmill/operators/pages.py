@@ -9,10 +9,14 @@ from pyspark.sql.window import Window
 from ..functions import text as T
 
 # Words that name no topic.
-STOPWORDS = ("about", "after", "also", "analysis", "based", "been", "between", "data", "from", "have", "into", "method", "methods", "paper", "results", "section", "show", "shown", "study", "such", "than", "that", "their", "these", "this", "using", "were", "which", "with")
-# Fixed value: unnumbered headings of papers.
-PLAIN_HEADING = r"(?i)^(?:[0-9]+(?:\.[0-9]+)*\s+)?(?:abstract|introduction|background|methods?|materials and methods|experimental|results|discussion|results and discussion|conclusions?|references|acknowledge?ments?)\s*:?$"
+STOPWORDS = ("about", "across", "after", "analysis", "approach", "based", "between", "conclusion", "conclusions", "data", "discussion", "from", "into", "introduction", "method", "methods", "paper", "result", "results", "study", "table", "tables", "using", "with")
+# Headings of papers without a mark, lines of keywords, line ends.
+PLAIN_HEADING = r"(?i)^\s*(?:[0-9]+(?:\.[0-9]+)*\s+)?(?:abstract|introduction|background|methods?|materials and methods|results?|discussion|conclusion|references)\s*$"
+KEYWORDS = r"(?i)^\s{0,3}(?:#{1,6}\s*)?keywords?\s*:\s*(.+)$"
+LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
 MARKDOWN_HEADING = r"^#{1,6}\s+(.+)$"
+# Parts of lines that name places of work, not persons.
+AFFILIATION = "(?i)university|department|school|laboratory|institute|college|center|centre|hospital"
 
 
 def span_text(spans: DataFrame) -> DataFrame:
@@ -110,11 +114,18 @@ def topics(texts: DataFrame, key: str, text: str = "text", most: int = 8) -> Dat
     return d.withColumn("rank", rank).where(F.col("rank") <= most)
 
 
+def once(c: Column) -> Column:
+    """Texts of an array, the first of those that differ by case only."""
+    low = F.transform(c, F.lower)
+    return F.filter(c, lambda x, i: F.array_position(low, F.lower(x)) == i + 1)
+
+
 def keyword_topics(text: Column, most: int = 8) -> Column:
-    """Terms of the first line that starts with 'Keywords:'."""
-    line = F.regexp_extract(T.blank(text), r"(?im)^[ \t>*_#]*(?:keywords|key words|index terms)[ \t*_]*[:\-][ \t]*([^\n]+)$", 1)
-    parts = F.filter(F.transform(F.split(line, "[;,]"), lambda x: F.regexp_replace(x, r"^[ .]+|[ .]+$", "")), lambda x: x != "")
-    return F.slice(F.array_distinct(parts), 1, most)
+    """Terms of the first line that starts with 'Keywords:' and names any, once whatever their case."""
+    lines = F.filter(F.split(T.blank(text), LINE_END), lambda x: x.rlike(KEYWORDS))
+    terms = lambda x: F.filter(F.transform(F.split(F.regexp_extract(x, KEYWORDS, 1), "[;,]"), lambda y: F.regexp_replace(y, r"^[ .]+|[ .]+$", "")), lambda y: y != "")
+    first = F.get(F.filter(F.transform(lines, terms), lambda x: F.size(x) > 0), F.lit(0))
+    return F.slice(once(F.coalesce(first, F.array().cast("array<string>"))), 1, most)
 
 
 def page_texts(tables: DataFrame, pages: DataFrame, separator: str, most: int | None = None) -> DataFrame:
@@ -161,18 +172,60 @@ def split_pages(docs: DataFrame, markdown: str = "markdown") -> DataFrame:
     return d.select("doc", F.regexp_extract("part", "^# Page ([0-9]+)", 1).cast("int").alias("page"), F.regexp_replace("part", r"^# Page [0-9]+[ \t]*\n?\n?", "").alias("text"))
 
 
+def is_person(c: Column) -> Column:
+    t = F.trim(T.blank(c))
+    words = F.filter(F.transform(F.split(t, r"\s+"), lambda x: F.regexp_replace(x, r"^[.,*]+|[.,*]+$", "")), lambda x: x != "")
+    return F.length(t).between(3, 70) & ~t.rlike("(?i)@|http|[0-9]") & ~t.rlike(AFFILIATION) & F.size(words).between(2, 5) & F.forall(words, lambda x: x.rlike("^(?:[A-Za-z]|[A-Z][A-Za-z'`-]*)$"))
+
+
+# The DOI form and the year of first pages, what starts no title or ends the authors, hints of a journal line.
+PAGE_DOI = r"(?i)\b10\.[0-9]{4,9}/[-._;()/:A-Za-z0-9]+\b"
+PAGE_YEAR = r"\b(?:19|20)[0-9]{2}\b"
+NO_TITLE = ("abstract", "keywords", "introduction", "doi")
+JOURNAL_HINTS = ("journal", "proceedings", "conference", "vol.", "volume", "issue", "arxiv", "pp.", "pages")
+
+
+def _starts(c: Column, names: tuple[str, ...]) -> Column:
+    low = F.lower(c)
+    found = F.lit(False)
+    for n in names:
+        found = found | low.startswith(n)
+    return found
+
+
+def _probable_title(x: Column) -> Column:
+    words = F.size(F.filter(F.split(x, r"(?U)\s+"), lambda w: w != ""))
+    return ~_starts(x, NO_TITLE) & ~x.contains("@") & ~F.lower(x).contains("http") & ~F.lower(x).contains("doi:") & (words >= 3) & F.length(x).between(16, 220)
+
+
+def _authors_of(line: Column) -> Column:
+    parts = F.filter(F.transform(F.split(F.regexp_replace(line, r"(?i)\b(?:and|&)\b", ","), "[;,]"), T.strip), lambda x: x != "")
+    return once(F.filter(F.transform(parts, lambda x: F.when(F.size(parts) == 1, x).otherwise(F.regexp_replace(x, r"^[ *]+|[ *]+$", ""))), is_person))
+
+
+def _without_doi(x: Column) -> Column:
+    t = F.regexp_replace(F.regexp_replace(x, r"(?i)https?://(?:dx\.)?doi\.org/\S+", " "), r"(?i)\bdoi\s*:\s*", " ")
+    return F.regexp_replace(T.squeeze(F.regexp_replace(t, PAGE_DOI, " ")), "^[ ;,]+|[ ;,]+$", "")
+
+
 def bibliography(pages: DataFrame) -> DataFrame:
-    """First pages' title (first likely line of 30), authors (names in the next 12), year, DOI and journal line."""
-    line = F.filter(F.transform(F.slice(F.split(T.blank(F.col("text")), "\n"), 1, 30), T.clean_markdown_line), lambda x: x != "")
-    d = pages.where("page = 1").select("doc", "text", line.alias("ls"))
-    good = lambda x: (F.length(x) >= 8) & (F.length(x) <= 300) & (F.size(F.split(x, " ")) >= 2) & ~F.lower(x).rlike(r"^(?:page|doi|http|abstract|keywords|received|figure|table)\b")
-    d = d.withColumn("title", F.coalesce(F.get(F.filter("ls", good), F.lit(0)), F.lit(""))).withColumn("at", F.array_position("ls", F.col("title")))
-    name = r"^(?:[A-Z][A-Za-z'’.\-]*\s+){1,4}[A-Z][A-Za-z'’\-]+$"
-    people = F.flatten(F.transform(F.slice("ls", F.col("at").cast("int") + 1, F.lit(12)), lambda x: F.filter(F.transform(F.split(x, r",|;|\band\b"), lambda y: F.trim(y)), lambda n: n.rlike(name))))
-    doi = F.regexp_extract("text", T.DOI, 0)
-    year = T.year_in(F.regexp_replace(F.col("text"), T.DOI, " "))
-    journal = F.coalesce(F.get(F.filter("ls", lambda x: F.lower(x).rlike(r"\b(?:journal|proceedings|transactions|letters|vol\.?|volume)\b")), F.lit(0)), F.lit(""))
-    return d.select("doc", "title", F.when(F.col("at") > 0, F.array_distinct(people)).otherwise(F.array().cast("array<string>")).alias("authors"), year.alias("year"), T.normalize_doi(doi).alias("doi"), journal.alias("journal_ref"))
+    """First pages' title (first likely line of 30), authors (the first of the next 12 lines that names some), year, DOI and journal line."""
+    none = F.array().cast("array<string>")
+    lines = F.filter(F.transform(F.split(T.blank(F.col("text")), LINE_END), T.clean_markdown_line), lambda x: x != "")
+    d = pages.where("page = 1").select("doc", "text", lines.alias("ls"))
+    d = d.withColumn("title", F.coalesce(F.get(F.filter(F.slice("ls", 1, 30), _probable_title), F.lit(0)), F.lit("")))
+    d = d.withColumn("near", F.slice("ls", F.greatest(F.array_position("ls", F.col("title")).cast("int"), F.lit(1)) + 1, 12))
+    stop = F.coalesce(F.get(F.filter(F.transform("near", lambda x, i: F.when(_starts(x, NO_TITLE[:3]), i)), lambda i: i.isNotNull()), F.lit(0)), F.size("near"))
+    named = F.transform(F.slice("near", F.lit(1), stop), lambda x: F.struct(x.alias("line"), _authors_of(x).alias("who")))
+    listed = F.filter(named, lambda n: (F.size(n["who"]) >= 2) | ((F.size(n["who"]) == 1) & (n["line"].rlike("[,;]") | F.lower(n["line"]).contains(" and "))))
+    d = d.withColumn("authors", F.coalesce(F.get(listed, F.lit(0))["who"], none))
+    bare = F.transform("ls", _without_doi)
+    year = F.coalesce(F.get(F.filter(F.transform(bare, lambda x: F.regexp_extract(x, PAGE_YEAR, 0)), lambda y: y != ""), F.lit(0)), F.lit(""))
+    hint = lambda x: F.exists(F.array(*map(F.lit, JOURNAL_HINTS)), lambda h: F.contains(F.lower(x), h)) | x.rlike(PAGE_YEAR)
+    own = lambda x: (F.lower(x) == F.lower(F.trim("title"))) | F.array_contains(F.transform("authors", lambda a: F.lower(F.trim(a))), F.lower(x))
+    journal = F.coalesce(F.get(F.filter(bare, lambda x: (x != "") & ~own(x) & hint(x)), F.lit(0)), F.lit(""))
+    doi = F.regexp_replace(F.regexp_extract(T.blank(F.col("text")), PAGE_DOI, 0), "[.,;)]+$", "")
+    return d.select("doc", "title", "authors", year.alias("year"), doi.alias("doi"), journal.alias("journal_ref"))
 
 
 def patch_bibliography(base: DataFrame, patch: DataFrame, key: str = "doc") -> DataFrame:
@@ -193,8 +246,33 @@ def choose_sections(parsed: DataFrame, found: DataFrame) -> DataFrame:
     return j.select("doc", F.when(take, "parsed").otherwise("found").alias("choice"))
 
 
-def group_index(docs: DataFrame, group: str) -> DataFrame:
-    """One list per group of its documents' lines, in order."""
-    line = F.concat(F.lit("- "), F.col("doc").cast("string"), F.lit(": "), F.when(F.col("first") == F.col("last"), F.concat(F.lit("p. "), F.col("first").cast("string"))).otherwise(F.concat(F.lit("pp. "), F.col("first").cast("string"), F.lit("-"), F.col("last").cast("string"))))
-    parts = F.transform(F.array_sort(F.collect_list(F.struct("doc", line.alias("line")))), lambda x: x["line"])
-    return docs.groupBy(group).agg(F.count("*").alias("docs"), F.array_join(parts, "\n").alias("listing"))
+def index_head(group: Column) -> Column:
+    return F.concat(F.lit("# Paper Index: "), group, F.lit("\n\nThis index is generated for quick LLM discovery across papers in this folder.\n"))
+
+
+def index_entries(papers: DataFrame, group: str, most_sections: int = 12) -> DataFrame:
+    """(group, folder_name, entry): a document's part of its group's index.
+
+    papers: group, folder_name, consolidated_markdown, title, citation, page_count, summary, topics, sections (title,
+    start_page, end_page, summary). Optional lines stand only where there is something to say. No group is gathered: the
+    sink sorts entries by folder name within a group's files.
+    """
+    t = lambda c: T.strip(T.blank(F.col(c)))
+    title = F.coalesce(F.nullif(t("title"), F.lit("")), F.nullif(F.replace(t("consolidated_markdown"), F.lit(".md"), F.lit("")), F.lit("")), t("folder_name"))
+    line = lambda name, v: F.when(v != "", F.concat(F.lit(f"- {name}: "), v))
+
+    def section(s: Column) -> Column:
+        a = F.coalesce(F.nullif(s["start_page"], F.lit(0)), F.lit(1))
+        b = F.coalesce(F.nullif(s["end_page"], F.lit(0)), a)
+        span = F.when(a == b, F.concat(F.lit("p. "), a.cast("string"))).otherwise(F.concat(F.lit("pp. "), a.cast("string"), F.lit("-"), b.cast("string")))
+        about = T.strip(T.blank(s["summary"]))
+        return F.concat(F.lit("  - "), T.strip(s["title"]), F.lit(" ("), span, F.lit(")"), F.when(about != "", F.concat(F.lit(": "), about)).otherwise(""))
+
+    sections = F.coalesce("sections", F.array().cast("array<struct<title:string,start_page:int,end_page:int,summary:string>>"))
+    named = F.transform(F.filter(F.slice(sections, 1, most_sections), lambda s: T.strip(T.blank(s["title"])) != ""), section)
+    parts = F.concat(
+        F.array(F.concat(F.lit("## "), title), F.lit(""), F.concat(F.lit("- Location: `"), t("folder_name"), F.lit("/"), t("consolidated_markdown"), F.lit("`")), F.when(F.col("page_count") != 0, F.concat(F.lit("- Pages: "), F.col("page_count").cast("string"))), line("Citation", t("citation")), line("Summary", t("summary")), line("Topics", F.array_join(F.coalesce("topics", F.array().cast("array<string>")), ", "))),
+        F.when(F.size(sections) > 0, F.concat(F.array(F.lit("- Key Sections:")), named)).otherwise(F.array().cast("array<string>")),
+        F.array(F.lit("")),
+    )
+    return papers.select(group, "folder_name", F.array_join(F.filter(parts, lambda x: x.isNotNull()), "\n").alias("entry"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators.doi import download_index, failed
+from ..operators.pages import index_head
 
 # The columns of a resolution's result, in order.
 RESOLVED = ("row_index", "doi_raw", "url_raw", "title", "first_author", "year", "container_title", "doi_extracted", "doi_canonical", "doi_agency", "doi_status", "doi_match_method", "doi_confidence", "doi_match_notes")
@@ -22,6 +23,14 @@ def text(df: DataFrame, column: str, path: str, by: list[str] | None = None) ->
     (d.write.partitionBy(*by) if by else d.write).mode("overwrite").text(path)
 
 
+def group_index(entries: DataFrame, group: str, path: str) -> None:
+    """Index text by group: head first, then entries by folder name; large groups are files in the order of their names, each sorted."""
+    d = entries.select(F.col(group).alias("_group"), F.lit(1).alias("_at"), "folder_name", "entry")
+    heads = entries.select(F.col(group).alias("_group")).distinct().select("_group", F.lit(0).alias("_at"), F.lit("").alias("folder_name"), index_head(F.col("_group").cast("string")).alias("entry"))
+    d = d.unionByName(heads).repartitionByRange("_group", "_at", "folder_name").sortWithinPartitions("_group", "_at", "folder_name")
+    d.select(F.col("_group").alias(group), F.col("entry").alias("value")).write.partitionBy(group).mode("overwrite").text(path)
+
+
 def csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
