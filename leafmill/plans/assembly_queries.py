@@ -44,29 +44,15 @@ def group_table_ids(spark, sf):
     return Y.table_ids(f, f.where("page % 2 = 0").select("doc", "group", F.concat(F.lit("t"), "group").alias("table_id")))
 
 
-def review_context(spark, sf):
-    f = v_fragment(spark, sf).withColumn("doc", F.col("doc") % 50)
-    t = f.select("doc", F.col("frag").alias("table_id"), F.array(F.col("frag").cast("string")).alias("fragment_ids"), F.array("page", F.col("page") + 1).alias("pages"))
-    return Y.review_context(t, f.where("frag % 3 <> 0"), v_page(spark, sf), 30)
-
-
-def evidence_bundle(spark, sf):
-    g = v_grid(spark, sf).select((F.col("table_id") % 50).alias("doc"), "page", "table_id", F.slice("headers", 1, 1).alias("headers"), F.slice("rows", 1, 1).alias("rows"))
-    ocr = v_page(spark, sf).where("page % 2 = 0").select("doc", "page", F.lit(1).alias("ord"), F.array(F.lit("H")).alias("headers"), F.array(F.array("source")).alias("rows"))
-    return Y.evidence(g, ocr, v_page(spark, sf), 20)
-
-
 def export_totals(spark, sf):
     p = v_page(spark, sf).select("doc", F.get(F.array(*map(F.lit, ("ok", "text_only", "structured_ok", "skipped", "structured_fallback"))), F.col("page") % 5).alias("status"))
     return Y.totals(p, v_fragment(spark, sf).select((F.col("doc") % 40).alias("doc")))
 
 
 def abstracts(spark, sf):
-    """Even documents get an abstract heading before their first line."""
-    p = v_page(spark, sf).where("page <= 5").withColumn("text", F.regexp_replace("text", r"[^\x20-\x7e\n]", "?"))
-    first = F.regexp_replace(F.split("text", "\n")[0], "[#`*_~|]", "")
-    t = F.when(F.col("page") > 1, "tail").when(F.col("doc") % 2 == 0, F.concat(F.lit("Title words here\n\n## Abstract\n\n"), first, F.lit("\nMore said. And more.\nKeywords: x\nrest"))).otherwise(F.concat(F.lit("# Heading\n"), first, F.lit("\n\nnext")))
-    return Y.abstract(P.lines(p.withColumn("text", t)))
+    """Even documents get an abstract heading before their first page's text, odd ones another heading; pages are whole."""
+    head = F.when(F.col("doc") % 2 == 0, "Title words here\n\n## Abstract\n\n").otherwise("# Heading\n")
+    return Y.abstract(P.lines(v_page(spark, sf).where("page <= 5").withColumn("text", F.when(F.col("page") == 1, F.concat(head, "text")).otherwise(F.col("text")))))
 
 
 def best_markdown_table(spark, sf):
@@ -78,13 +64,13 @@ def name_builders(spark, sf):
     p = table(spark, sf, "part")
     k = F.col("p_partkey") % 4
     author = F.when(k == 0, F.lit("Doe, Jane Q.")).when(k == 1, F.concat(F.lit("Ann "), F.regexp_replace("p_brand", "[^A-Za-z]", ""))).when(k == 2, F.lit("")).otherwise(F.lit("Plato"))
-    return p.select("p_partkey", Y.folder_name(author, F.when(k == 3, "").otherwise("1999")).alias("folder"), Y.file_name(F.concat("p_name", F.lit(": a/b?.."))).alias("file"), Y.is_person(author).alias("person"), Y.is_placeholder(F.when(k == 0, " <Topic> ").when(k == 1, "- _ -").otherwise(F.col("p_name"))).alias("placeholder"), Y.model_id(F.when(k == 0, " models/m1").when(k == 1, "short").otherwise(""), "base", {"short": "long"}).alias("model"))
+    return p.select("p_partkey", Y.folder_name(author, F.when(k == 3, "").otherwise("1999")).alias("folder"), Y.file_name(F.concat("p_name", F.lit(": a/b?.."))).alias("file"), P.is_person(author).alias("person"), Y.is_placeholder(F.when(k == 0, " <Topic> ").when(k == 1, "- _ -").otherwise(F.col("p_name"))).alias("placeholder"), Y.model_id(F.when(k == 0, " models/m1").when(k == 1, "short").otherwise(""), "base", {"short": "long"}).alias("model"))
 
 
 def message_parts(spark, sf):
     e = table(spark, sf, "events")
     k = F.col("event_id") % 3
-    labels = F.when(k == 0, F.array(F.lit("Cancel"), F.lit("Get PDF"))).when(k == 1, F.array(F.lit("Request (12 points)"), F.lit("✅ yes"))).otherwise(F.array().cast("array<string>"))
+    labels = F.when(k == 0, F.array(F.lit("Cancel"), F.lit("Get PDF"))).when(k == 1, F.array(F.lit("Request (12 pts)"), F.lit("✅ yes"))).otherwise(F.array().cast("array<string>"))
     d = e.select("event_id", Y.message_parts(F.concat(F.lit("\n >> "), F.col("event_type"), F.lit("  done\nmore")), labels).alias("m"))
     return d.select("event_id", "m.*")
 
@@ -104,13 +90,13 @@ def topic_backfill(spark, sf):
 
 def prefilled_grid(spark, sf):
     g = v_grid(spark, sf)
-    grid = Y.prefilled(F.array("headers"), F.slice("rows", 1, 2), F.lit(4), (F.col("table_id") % 6).cast("int"))
+    grid = Y.prefilled(F.array("headers"), F.col("rows"), F.lit(4), (F.col("table_id") % 6).cast("int"))
     return g.select("table_id", B.rows_text(grid).alias("grid"))
 
 
 def grid_to_markdown(spark, sf):
     g = v_grid(spark, sf)
-    return g.select("table_id", Y.grid_markdown(F.concat(F.array("headers"), F.slice("rows", 1, 2)), F.lit(2)).alias("markdown"))
+    return g.select("table_id", Y.grid_markdown(F.concat(F.array("headers"), "rows"), F.lit(2)).alias("markdown"))
 
 
 def reconcile_payloads(spark, sf):
@@ -152,7 +138,7 @@ def page_signature(spark, sf):
     return d.select("doc", "page", T.stable_id(F.col("doc"), F.col("page"), F.col("source"), sep="|").alias("id"), T.clamp01(F.concat((F.col("page") / 4).cast("decimal(6,3)").cast("string"), F.when(F.col("page") == 3, "x").otherwise(""))).alias("clamped"))
 
 
-QUERIES = {f.__name__: f for f in (canonical_tables, continued_tables, table_crops, group_table_ids, review_context, evidence_bundle, export_totals, abstracts, best_markdown_table, name_builders, message_parts, discovery_normalize, topic_backfill, prefilled_grid, grid_to_markdown, reconcile_payloads, rectified_payloads, prompt_payloads, new_manifests, span_text, page_signature)}
+QUERIES = {f.__name__: f for f in (canonical_tables, continued_tables, table_crops, group_table_ids, export_totals, abstracts, best_markdown_table, name_builders, message_parts, discovery_normalize, topic_backfill, prefilled_grid, grid_to_markdown, reconcile_payloads, rectified_payloads, prompt_payloads, new_manifests, span_text, page_signature)}
 
 CHAIN = f"""{V_FRAGMENT}, a AS (SELECT *, {NUM} AS number FROM v_fragment),
 b AS (SELECT *, CASE WHEN number = '' THEN 0 WHEN page - lag(page) OVER w BETWEEN 0 AND 1 AND (contains(caption, 'continued') OR contains(lag(caption) OVER w, 'continued') OR len(list_intersect(list_distinct(tokens), list_distinct(lag(tokens) OVER w))) / len(list_distinct(list_concat(tokens, lag(tokens) OVER w))) >= 0.75) THEN 0 ELSE 1 END AS br FROM a WINDOW w AS (PARTITION BY doc, number ORDER BY page, frag)),
@@ -169,22 +155,16 @@ UNION ALL SELECT doc, table_id, table_id, CASE WHEN e THEN 'Name' || chr(10) ||
     "table_crops": f"""WITH {V_FRAGMENT}, s AS (SELECT doc, page, 'a/' || frag AS path FROM v_fragment WHERE frag % 3 = 0 UNION ALL SELECT doc, page, 'b/' || frag FROM v_fragment WHERE frag % 2 = 0), m AS (SELECT doc, page, min(path) AS path FROM s GROUP BY ALL)
 SELECT doc, frag AS table_id, CASE WHEN frag % 3 = 0 THEN 'a/' || frag WHEN frag % 2 = 0 THEN 'b/' || frag ELSE path END AS path FROM v_fragment LEFT JOIN m USING (doc, page)""",
     "group_table_ids": f"""WITH {V_FRAGMENT} SELECT doc, frag::varchar AS "group", page, CASE WHEN page % 2 = 0 THEN 't' || frag ELSE substr(sha1(doc || '|' || frag || '|' || page), 1, 16) END AS table_id FROM v_fragment""",
-    "review_context": f"""WITH {V_PAGE}, {V_FRAGMENT}, f AS (SELECT doc % 50 AS doc, frag, page, caption FROM v_fragment), p AS (SELECT f.doc, frag, string_agg(substr(text, 1, 30), chr(10) ORDER BY v.page) AS t FROM f JOIN v_page v ON v.doc = f.doc AND v.page IN (f.page, f.page + 1) GROUP BY ALL)
-SELECT f.doc, f.frag AS table_id, (f.frag % 3 <> 0)::bigint AS fragments, CASE WHEN f.frag % 3 <> 0 THEN caption ELSE '' END AS captions, coalesce(t, '') AS page_text FROM f LEFT JOIN p ON p.doc = f.doc AND p.frag = f.frag""",
-    "evidence_bundle": f"""WITH {V_PAGE}, {V_GRID} SELECT g.table_id % 50 AS doc, table_id, concat_ws(chr(10), 'Part' || chr(10) || array_to_string(rows[1], ' | '), CASE WHEN p.page % 2 = 0 THEN 'H' || chr(10) || source END, substr(text, 1, 20)) AS evidence FROM v_grid g LEFT JOIN v_page p ON p.doc = g.table_id % 50 AND p.page = g.page""",
     "export_totals": f"""WITH {V_PAGE}, {V_FRAGMENT}, p AS (SELECT doc, count(*) AS pages, count(*) FILTER (page % 5 = 2) AS structured_ok, count(*) FILTER (page % 5 = 4) AS structured_fallback, count(*) FILTER (page % 5 = 1) AS text_only, count(*) FILTER (page % 5 = 0) AS ok, count(*) FILTER (page % 5 = 3) AS skipped FROM v_page GROUP BY doc), t AS (SELECT doc % 40 AS doc, count(*) AS tables FROM v_fragment GROUP BY 1)
 SELECT doc, {", ".join(f"sum({c})::bigint AS {c}" for c in ("pages", "structured_ok", "structured_fallback", "text_only", "ok", "skipped"))}, sum(coalesce(tables, 0))::bigint AS tables FROM p LEFT JOIN t USING (doc) GROUP BY ROLLUP (doc)""",
-    "abstracts": rf"""WITH {V_PAGE}, a AS (SELECT doc, regexp_replace(string_split(regexp_replace(text, '[^\x20-\x7e\n]', '?', 'g'), chr(10))[1], '[#`*_~|]', '', 'g') AS f FROM v_page WHERE page = 1),
-b AS (SELECT doc, trim(regexp_replace(CASE WHEN doc % 2 = 0 THEN trim(f) || ' More said. And more.' ELSE f END, '[ \t\n\r\f]+', ' ', 'g')) AS t FROM a), c AS (SELECT doc, array_to_string(list_slice(string_split(regexp_replace(t, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), 1, 2), ' ') AS s FROM b)
-SELECT doc, CASE WHEN length(s) > 480 THEN rtrim(substr(s, 1, 477)) || '...' ELSE s END AS abstract FROM c""",
     "best_markdown_table": f"""WITH {V_GRID}, a AS (SELECT table_id % 41 AS doc, page, table_id AS ord, (len(list_filter(flatten(rows), lambda x: x <> '')) + 8)::int AS score FROM v_grid) SELECT doc, page, ord, score FROM (SELECT *, row_number() OVER (PARTITION BY doc, page ORDER BY score DESC, ord) AS r FROM a) WHERE r = 1""",
     "name_builders": r"""SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'Doe_Jane_Q_1999' WHEN 1 THEN regexp_replace(p_brand, '[^A-Za-z]', '', 'g') || '_Ann_1999' WHEN 2 THEN 'unknown_author_1999' ELSE 'Plato_unknown_year' END AS folder, trim(regexp_replace(p_name, '\s+', ' ', 'g')) || ' a b .md' AS file, p_partkey % 4 < 2 AS person, p_partkey % 4 < 2 AS placeholder, list_extract(['m1', 'long', 'base', 'base'], (p_partkey % 4)::int + 1) AS model FROM part""",
     "message_parts": r"""SELECT event_id, event_type || '  done' AS title, '>> ' || event_type || ' done more' AS excerpt, CASE WHEN event_id % 3 = 1 THEN 12 END AS points, CASE WHEN event_id % 3 = 0 THEN 1 ELSE -1 END AS pdf, CASE WHEN event_id % 3 = 1 THEN 0 ELSE -1 END AS request, CASE WHEN event_id % 3 = 1 THEN 1 ELSE -1 END AS confirm, -1 AS link FROM events""",
     "discovery_normalize": f"""WITH {V_PAGE}, d AS (SELECT doc FROM v_page WHERE page = 1) SELECT doc, '' AS summary, 'a' AS topics, 0 AS i, 'Intro' AS title, greatest(1, least(doc % 7 - 2, 4))::int AS start_page, 4 AS end_page, '' AS section_summary FROM d UNION ALL SELECT doc, '', 'a', 1, 'B', 3, 3, 's' FROM d""",
     "topic_backfill": f"""WITH {V_PAGE} SELECT doc, page, CASE WHEN page % 3 = 0 THEN source || '|' || lang || '|spark' ELSE upper(lang) || '|plan|sum|end' END AS topics FROM v_page""",
-    "prefilled_grid": f"""WITH {V_GRID}, a AS (SELECT table_id, list_concat([headers], list_slice(rows, 1, 2)) AS g, greatest(4, table_id % 6) AS m FROM v_grid), b AS (SELECT table_id, list_transform(list_resize(g, 4, []::varchar[]), lambda r: list_resize(r, m, '')) AS g FROM a) SELECT table_id, {JOINED.format('g')} AS grid FROM b""",
-    "grid_to_markdown": f"""WITH {V_GRID}, a AS (SELECT table_id, list_concat([headers], list_transform(list_slice(rows, 1, 2), lambda r: list_resize(r, 4, ''))) AS g FROM v_grid)
-SELECT table_id, '| ' || array_to_string(list_transform([1, 2, 3, 4], lambda i: g[1][i] || CASE WHEN g[2][i] <> '' THEN ' / ' || g[2][i] ELSE '' END), ' | ') || ' |' || chr(10) || '| --- | --- | --- | --- |' || CASE WHEN len(g) > 2 THEN chr(10) || '| ' || array_to_string(g[3], ' | ') || ' |' ELSE '' END AS markdown FROM a""",
+    "prefilled_grid": f"""WITH {V_GRID}, a AS (SELECT table_id, list_concat([headers], rows) AS g, greatest(4, table_id % 6) AS m FROM v_grid), b AS (SELECT table_id, list_transform(list_resize(g, greatest(4, len(g)), []::varchar[]), lambda r: list_resize(r, m, '')) AS g FROM a) SELECT table_id, {JOINED.format('g')} AS grid FROM b""",
+    "grid_to_markdown": f"""WITH {V_GRID}, a AS (SELECT table_id, list_concat([headers], list_transform(rows, lambda r: list_resize(r, 4, ''))) AS g FROM v_grid)
+SELECT table_id, '| ' || array_to_string(list_transform([1, 2, 3, 4], lambda i: g[1][i] || CASE WHEN g[2][i] <> '' THEN ' / ' || g[2][i] ELSE '' END), ' | ') || ' |' || chr(10) || '| --- | --- | --- | --- |' || coalesce(array_to_string(list_transform(list_slice(g, 3, len(g)), lambda r: chr(10) || '| ' || array_to_string(r, ' | ') || ' |'), ''), '') AS markdown FROM a""",
     "reconcile_payloads": f"""WITH {V_GRID} SELECT table_id, list_extract(['', 'unreadable', 'shape', 'dropped'], (table_id % 4)::int + 1) AS reason, len(rows)::int AS rows FROM v_grid""",
     "rectified_payloads": f"""WITH {V_GRID} SELECT table_id, 1 AS heads, CASE table_id % 4 WHEN 2 THEN len(rows) ELSE 1 END::int AS rows, CASE WHEN table_id % 4 IN (0, 3) THEN 1 ELSE 0 END::double AS confidence, table_id % 4 IN (1, 2) AS needs_review, 'none' AS context_request, list_extract(['', 'no_headers', 'not_an_object', ''], (table_id % 4)::int + 1) AS reasons FROM v_grid""",
     "prompt_payloads": """SELECT doc_id, '{"lang":"' || lang || '","source":"from the sou"}' AS prompt FROM documents""",

@@ -33,6 +33,13 @@ def doi_candidates(spark, sf):
     return e.select("seq", F.array_join(T.doi_candidates(t), "|").alias("dois"))
 
 
+def doi_in_urls(spark, sf):
+    """DOIs in a URL's parameters, behind the resolver, with characters of every kind."""
+    k = (F.col("event_id") % 500).cast("string")
+    t = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit("https://publisher.example/view?id=1&doi=10.7777%2FA_b*"), k, F.lit("&x=100%"))).when(F.col("event_id") % 3 == 1, F.concat(F.lit(" https://dx.doi.org//10.8888/(S)"), k, F.lit("é;p?q=1 "))).otherwise(F.concat(F.lit("no url, doi=10.9999/x+"), k, F.lit("#z \"10.1234/quoted\" <10.4321/angle>")))
+    return table(spark, sf, "events").select("event_id", F.array_join(T.doi_candidates(t), "|").alias("dois"))
+
+
 def _parts(spark, sf):
     """part as bibliographic rows, and as works found for them."""
     p = table(spark, sf, "part")
@@ -117,12 +124,12 @@ def link_extract(spark, sf):
 
 
 def landing_metadata(spark, sf):
-    p = table(spark, sf, "pages").select("page_id", "url", F.regexp_extract("html", "<title>([^<]{0,20})", 1).alias("t"))
+    p = table(spark, sf, "pages").select("page_id", "url", "html", F.regexp_extract("html", "<title>([^<]*)", 1).alias("t"))
     k = F.col("page_id") % 4
     tag = lambda n, v: F.concat(F.lit(f'<meta name="{n}" content="'), v, F.lit('">'))
     title = F.regexp_replace("t", "[^A-Za-z ]", "")
     ld = F.concat(F.lit('<script type="application/ld+json">{"name": "LD '), title, F.lit('", "author": [{"name": "Ld Author"}], "datePublished": "2003-04-05", "isPartOf": {"name": "Journal"}}</script>'))
-    html = F.concat(F.when((k == 0) | (k == 3), tag("citation_title", F.concat(F.lit("C"), title))).otherwise(""), F.when(k != 2, F.concat(tag("DC.title", F.concat(F.lit("D"), title)), tag("dc.date", F.lit("on 1999-01-02")))).otherwise(""), F.when(k >= 2, ld).otherwise(""))
+    html = F.concat(F.when((k == 0) | (k == 3), tag("citation_title", F.concat(F.lit("C"), title))).otherwise(""), F.when(k != 2, F.concat(tag("DC.title", F.concat(F.lit("D"), title)), tag("dc.date", F.lit("on 1999-01-02")))).otherwise(""), F.when(k >= 2, ld).otherwise(""), "html")
     return p.select("page_id", D.landing_metadata(html).alias("m")).select("page_id", F.trim("m.title").alias("title"), "m.first_author", "m.year", "m.container")
 
 
@@ -130,10 +137,11 @@ PARTS = r"""rw AS (SELECT p_partkey AS row_index, CASE WHEN p_partkey % 7 = 0 TH
   CASE WHEN p_partkey % 5 = 0 THEN 'unknown' WHEN p_partkey % 3 = 0 THEN p_brand || ', A. et al.' ELSE 'Ann B ' || p_brand || '; Other' END AS author, (1990 + p_size % 30)::varchar AS year, p_brand AS container, p_name, p_type FROM part)"""
 DIST = "list_filter(f, lambda x, i: list_position(f, x) = i)"
 
-QUERIES = {f.__name__: f for f in (doi_normalize, doi_candidates, title_similarity, doi_resolution, resolution_counts, fetch_ready, fetch_report_failed, download_index, unique_dois, filter_variants, search_fallback, fill_from_work, author_helpers, message_kinds, link_extract, landing_metadata)}
+QUERIES = {f.__name__: f for f in (doi_normalize, doi_candidates, doi_in_urls, title_similarity, doi_resolution, resolution_counts, fetch_ready, fetch_report_failed, download_index, unique_dois, filter_variants, search_fallback, fill_from_work, author_helpers, message_kinds, link_extract, landing_metadata)}
 SQL = {
     "doi_normalize": "SELECT event_id AS seq, '10.1000/ab' || user_id % 500 AS doi FROM events",
     "doi_candidates": "SELECT event_id AS seq, '10.1000/ab' || user_id % 500 || '|10.5555/x' || user_id % 500 AS dois FROM events",
+    "doi_in_urls": """SELECT event_id, CASE event_id % 3 WHEN 0 THEN '10.7777/a_b*' || event_id % 500 || '|10.7777/a_b*' || event_id % 500 || '&x=100%' WHEN 1 THEN '10.8888/(s)' || event_id % 500 || 'é;p?q=1|10.8888/(s)' || event_id % 500 || 'é' ELSE '10.9999/x+' || event_id % 500 || '#z|10.1234/quoted|10.4321/angle' END AS dois FROM events""",
     "resolution_counts": f"""WITH {EVENTS} SELECT 'status' AS kind, status AS key, count(*) AS n FROM ev GROUP BY 2 UNION ALL SELECT 'method', event_type, count(*) FROM ev GROUP BY 2 UNION ALL SELECT 'agency', CASE WHEN seq % 3 = 0 THEN 'unknown' ELSE 'a' || seq % 4 END, count(*) FROM ev GROUP BY 2""",
     "fetch_ready": f"""WITH {EVENTS} SELECT '10.1000/ab' || k AS doi_canonical, min(seq) AS row_index, arg_min(CASE status WHEN 'Success' THEN 'canonicalized_crossref' ELSE 'inferred_crossref' END, seq) AS doi_status FROM ev WHERE status IN ('Success', 'Exists') GROUP BY k""",
     "fetch_report_failed": f"WITH {EVENTS} SELECT seq, status FROM ev WHERE status NOT IN ('Success', 'Exists')",
@@ -147,6 +155,6 @@ SELECT row_index, (generate_subscripts(f, 1) - 1)::int AS variant, unnest(f) AS
     "message_kinds": "SELECT event_id AS seq, list_extract(['hard_failure', 'searching', 'request', 'file', 'other'], (event_id % 5)::int + 1) AS kind FROM events",
     "link_extract": rf"""WITH a AS (SELECT page_id, list_filter(list_transform(list_concat(regexp_extract_all(html, '(?i)<a\s[^>]*?href="([^"]+)"', 1), regexp_extract_all(html, '(?i)<iframe\s[^>]*?src="([^"]+)"', 1), regexp_extract_all(html, '(?i)<object\s[^>]*?data="([^"]+)"', 1), regexp_extract_all(html, '(?i)"([^"\s]+\.pdf)([?#][^"]*)?"', 1)), lambda x: regexp_replace(x, '#.*$', '')), lambda x: x <> '') AS f FROM pages), b AS (SELECT page_id, {DIST} AS l FROM a)
 SELECT page_id, (generate_subscripts(l, 1) - 1)::int AS pos, unnest(l) AS link FROM b""",
-    "landing_metadata": r"""WITH a AS (SELECT page_id, page_id % 4 AS k, regexp_replace(regexp_extract(html, '<title>([^<]{0,20})', 1), '[^A-Za-z ]', '', 'g') AS t FROM pages)
+    "landing_metadata": r"""WITH a AS (SELECT page_id, page_id % 4 AS k, regexp_replace(regexp_extract(html, '<title>([^<]*)', 1), '[^A-Za-z ]', '', 'g') AS t FROM pages)
 SELECT page_id, trim(CASE k WHEN 0 THEN 'C' || t WHEN 3 THEN 'C' || t WHEN 1 THEN 'D' || t ELSE 'LD ' || t END) AS title, CASE WHEN k >= 2 THEN 'Ld Author' ELSE '' END AS first_author, CASE WHEN k = 2 THEN '2003' ELSE '1999' END AS year, CASE WHEN k >= 2 THEN 'Journal' ELSE '' END AS container FROM a""",
 }

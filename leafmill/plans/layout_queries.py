@@ -159,7 +159,7 @@ def page_sets(spark, sf):
 
 def ordered_distinct(spark, sf):
     p = v_page(spark, sf).withColumn("w", F.regexp_extract_all(F.lower("text"), F.lit("([a-z]{2,})"), F.lit(1)))
-    return p.select("doc", "page", F.array_join(F.slice(F.array_distinct("w"), 1, 12), " ").alias("words"))
+    return p.select("doc", "page", F.size(F.array_distinct("w")).alias("n"), F.md5(F.array_join(F.array_distinct("w"), " ")).alias("words_md5"))
 
 
 def grid_fit(spark, sf):
@@ -214,7 +214,8 @@ SELECT *, greatest(0, x0 - ceil((x1 - x0) * 0.1::double)::int) AS padded_x0 FROM
     "layout_audit": f"WITH {LIST} SELECT * FROM issues",
     "layout_report": f"WITH {LIST} SELECT count(*) FILTER (severity = 'error') AS errors, count(*) FILTER (severity <> 'error') AS warnings, (SELECT count(*) FROM pf) AS pdfs FROM issues",
     "page_sets": f"""WITH {V_ROW}, a AS (SELECT DISTINCT cells[1] AS part FROM v_row WHERE table_id % 2 = 0), b AS (SELECT DISTINCT cells[1] AS part FROM v_row WHERE table_id % 2 = 1) SELECT CASE WHEN part IN (SELECT part FROM b) THEN 'both' ELSE 'only_even' END AS kind, count(*) AS n, min(part) AS first FROM a GROUP BY 1""",
-    "ordered_distinct": f"""WITH {V_PAGE}, a AS (SELECT doc, page, regexp_extract_all(lower(text), '[a-z]{{2,}}') AS f FROM v_page), b AS (SELECT doc, page, list_filter(f, lambda x, i: list_position(f, x) = i) AS l FROM (SELECT doc, page, list_slice(f, 1, 5000) AS f FROM a)) SELECT doc, page, coalesce(array_to_string(list_slice(l, 1, 12), ' '), '') AS words FROM b""",
+    "ordered_distinct": f"""WITH {V_PAGE}, a AS (SELECT doc, page, unnest(f) AS w, generate_subscripts(f, 1) AS i FROM (SELECT doc, page, regexp_extract_all(lower(text), '[a-z]{{2,}}') AS f FROM v_page)), b AS (SELECT doc, page, w, min(i) AS i FROM a GROUP BY ALL), c AS (SELECT doc, page, count(*) AS n, string_agg(w, ' ' ORDER BY i) AS ws FROM b GROUP BY ALL)
+SELECT doc, page, coalesce(n, 0)::int AS n, md5(coalesce(ws, '')) AS words_md5 FROM v_page LEFT JOIN c USING (doc, page)""",
     "grid_fit": f"WITH {V_ROW} SELECT table_id, idx, coalesce(array_to_string(list_resize(cells, idx % 6, ''), '|'), '') AS cells FROM v_row",
     "long_cells": f"WITH {V_ROW}, a AS (SELECT table_id, unnest(cells) AS c, generate_subscripts(cells, 1) - 1 AS i FROM v_row) SELECT table_id, count(*) AS cells, count(*) FILTER (c = '') AS blanks, max(i)::int AS last_col FROM a GROUP BY table_id",
 }

@@ -123,19 +123,12 @@ def context_codes(spark, sf):
     p = v_page(spark, sf)
     word = F.regexp_extract("text", "([a-z]{4,12})", 1)
     line = F.concat(F.lit("P"), (F.col("page") % 6).cast("string"), F.when(F.col("page") % 2 == 0, " = ").otherwise(": "), word, F.lit(" resin.; Q"), (F.col("page") % 4).cast("string"), F.lit(" = "), F.col("source"), F.lit("; made of "), word, F.lit(" (XR"), (F.col("page") % 3).cast("string"), F.lit(")"))
-    lines = p.select("doc", "page", F.lit(0).alias("idx"), line.alias("line"))
+    lines = P.lines(p.withColumn("text", F.concat("text", F.lit("\n"), line)))
     rows = F.array(F.array(F.lit("P1"), F.lit("1")), F.array(F.concat(F.lit("Q"), (F.col("page") % 5).cast("string"))), F.array(F.lit("XR2 blend")), F.array(F.lit("kg")), F.array(F.lit("12")), F.array(F.lit("ab")))
-    tables = p.where("page % 3 = 1").select("doc", F.col("page").alias("table_id"), "page", F.array(F.lit("Sample"), F.lit("v")).alias("headers"), rows.alias("rows"))
+    tables = p.select("doc", F.col("page").alias("table_id"), "page", F.array(F.lit("Sample"), F.lit("v")).alias("headers"), rows.alias("rows"))
     return C.resolve(tables, lines)
 
 
-def born_digital(spark, sf):
-    pages = v_page(spark, sf).withColumn("route", P.route(P.heuristics(F.col("text")))).select("doc", "page", "route")
-    f = v_fragment(spark, sf).select((F.col("doc") % 50).alias("doc"), F.col("frag").alias("table_id"), F.explode(F.array("page", F.col("page") + 1)).alias("page"))
-    j = f.join(pages, ["doc", "page"], "left").groupBy("doc", "table_id").agg(F.bool_and(F.when(F.col("route").isNotNull(), F.col("route") == "anchored")).alias("b"))
-    return j.select("doc", "table_id", F.coalesce("b", F.lit(False)).alias("born_digital"))
-
-
 def _gold_pred(spark, sf):
     """Grids as gold tables, and a copy with tables dropped and cells changed."""
     g = v_grid(spark, sf).select((F.col("table_id") % 41).cast("int").alias("doc"), "page", F.col("table_id").alias("ord"), "headers", "rows")
@@ -246,9 +239,9 @@ def block_tree_tables(spark, sf):
 
 
 def html_evidence(spark, sf):
-    g = v_row(spark, sf).where("idx = 1")
+    g = v_row(spark, sf)
     html = F.concat(F.lit("<table><tr><th colspan=2>Head</th><th rowspan='2'>R</th></tr><tr><td>"), F.get("cells", F.lit(0)), F.lit("</td><td>"), F.get("cells", F.lit(1)), F.lit("</td></tr></table>"))
-    return g.select("table_id", parse.html_evidence(html).alias("e")).select("table_id", F.array_join("e.lines", ";").alias("lines"), F.array_join("e.joins", ";").alias("joins"))
+    return g.select("table_id", "idx", parse.html_evidence(html).alias("e")).select("table_id", "idx", F.array_join("e.lines", ";").alias("lines"), F.array_join("e.joins", ";").alias("joins"))
 
 
 def grid_from_spans(spark, sf):
@@ -277,6 +270,8 @@ def flag_upsert(spark, sf):
     return B.add_flags(f.where("ord <= 700 AND ord % 3 = 0").groupBy("flag_id").agg(F.min("ord").alias("ord")), f.where("ord > 700"))
 
 
+CODE = r"[A-Za-z][A-Za-z0-9\-]{0,11}"
+SPACE = r"[\s\x0b\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 JOINED = "array_to_string(list_transform(rows, lambda r: array_to_string(r, '|')), chr(10))"
 DISTINCT_WORDS = r"list_distinct(list_filter(flatten(list_transform(list_concat(headers, coalesce(rows[1], [])), lambda c: regexp_split_to_array(lower(c), '[^\p{L}\p{N}_]+'))), lambda w: w <> ''))"
 Q = f"""{V_GRID},
@@ -300,7 +295,7 @@ f1 AS (SELECT doc_id, table_id, cells, row_index, unnest(headers) AS prop, gener
 f AS (SELECT doc_id, table_id, row_index, col_index, cells[1] AS material, prop, cells[col_index + 1] AS value_raw, regexp_extract(prop, '\(([^)]+)\)', 1) AS unit,
   try_cast(nullif(cells[col_index + 1], '') AS decimal(18,2)) AS num FROM f1 WHERE col_index >= 1 AND col_index < len(cells))"""
 
-QUERIES = {f.__name__: f for f in (quality_metrics, quality_gate, escalation_budget, header_collapse, header_hierarchy, transpose_grid, topology_fix, completeness_guard, required_missing, flatten_text, row_kinds, cell_normalize, table_numbers, fragment_chains, merged_rows_lineage, cross_page_pairs, caption_binding, context_codes, born_digital, reconcile_sources, page_match_candidates, page_match_greedy, page_match_fallback, ocr_patch, compare_readings, ratio_self, facts_table, facts_figures, facts_summary, markdown_figures, figure_assets, html_grid_round_trip, markdown_table_round_trip, block_tree_tables, html_evidence, grid_from_spans, source_fallback, export_status, flag_upsert)}
+QUERIES = {f.__name__: f for f in (quality_metrics, quality_gate, escalation_budget, header_collapse, header_hierarchy, transpose_grid, topology_fix, completeness_guard, required_missing, flatten_text, row_kinds, cell_normalize, table_numbers, fragment_chains, merged_rows_lineage, cross_page_pairs, caption_binding, context_codes, reconcile_sources, page_match_candidates, page_match_greedy, page_match_fallback, ocr_patch, compare_readings, ratio_self, facts_table, facts_figures, facts_summary, markdown_figures, figure_assets, html_grid_round_trip, markdown_table_round_trip, block_tree_tables, html_evidence, grid_from_spans, source_fallback, export_status, flag_upsert)}
 SQL = {
     "quality_metrics": f"WITH {Q} SELECT table_id, empty, repeated, unstable FROM q",
     "quality_gate": f"WITH {Q}, z AS (SELECT *, headers AS h, list_filter(rows, lambda x: len(x) > 3) AS r FROM q) SELECT table_id, {FAILS} AS fails, {CAT} AS catastrophic FROM z",
@@ -355,15 +350,17 @@ SELECT doc, f1 AS first, f2 AS second FROM walk WHERE ok""",
 c AS (SELECT doc, page, frag AS cap_id, {NUM} AS cn, CASE WHEN frag % 5 <> 0 THEN (frag * 53 % 800)::double END AS cy FROM v_fragment WHERE frag % 2 = 1),
 j AS (SELECT t.*, cap_id, row_number() OVER (PARTITION BY t.table_id ORDER BY CASE WHEN n <> '' AND n = cn THEN 0 ELSE 1 END, coalesce(abs(y - cy) + CASE WHEN cy <= y THEN 0 ELSE 1000 END, 999999), coalesce(abs(y - cy), 999999), cap_id) AS r FROM t LEFT JOIN c USING (doc, page))
 SELECT doc, page, table_id, cap_id, CASE WHEN cap_id IS NULL THEN 0.6 ELSE 0.95 END::double AS caption_confidence FROM j WHERE r = 1""",
-    "context_codes": rf"""WITH {V_PAGE}, l AS (SELECT doc, page, regexp_extract(text, '([a-z]{{4,12}})', 1) AS w, source FROM v_page),
-d AS (SELECT doc, page, 'P' || page % 6 AS code, CASE WHEN w <> '' OR true THEN w || ' resin.; Q' || page % 4 || ' = ' || source || '; made of ' || w || ' (XR' || page % 3 || ')' END AS resolved, 0.95::double AS confidence, 'equals' AS kind, 1 AS o FROM l
-  UNION ALL SELECT doc, page, 'Q' || page % 4, source, 0.88, 'inline_equals', 2 FROM l
-  UNION ALL SELECT doc, page, 'XR' || page % 3, 'made of ' || w, 0.75, 'paren_reverse', 3 FROM l),
-t AS (SELECT doc, page, unnest(['P1', 'Q' || page % 5, 'XR2']) AS code FROM v_page WHERE page % 3 = 1),
-j AS (SELECT t.doc, t.page AS table_id, t.page, t.code, d.resolved, d.confidence, d.page AS source_page, d.kind, row_number() OVER (PARTITION BY t.doc, t.page, t.code ORDER BY d.confidence DESC NULLS LAST, d.page) AS r FROM t LEFT JOIN d ON t.doc = d.doc AND t.code = d.code AND d.page BETWEEN t.page - 1 AND t.page + 1)
-SELECT doc, table_id, page, code, trim(regexp_replace(regexp_replace(resolved, '\s+', ' ', 'g'), '[.,;]+$', '')) AS resolved, confidence, source_page, CASE WHEN source_page IS NOT NULL THEN 0 END::int AS source_line, kind FROM j WHERE r = 1""",
-    "born_digital": f"""WITH {V_PAGE}, {HEUR}, {V_FRAGMENT}, f AS (SELECT doc % 50 AS doc, frag AS table_id, unnest([page, page + 1]) AS page FROM v_fragment)
-SELECT f.doc, table_id, coalesce(bool_and(route = 'anchored'), false) AS born_digital FROM f LEFT JOIN s USING (doc, page) GROUP BY ALL""",
+    "context_codes": rf"""WITH {V_PAGE}, w AS (SELECT *, regexp_extract(text, '([a-z]{{4,12}})', 1) AS w FROM v_page),
+x AS (SELECT doc, page, string_split(replace(text || chr(10) || 'P' || page % 6 || CASE WHEN page % 2 = 0 THEN ' = ' ELSE ': ' END || w || ' resin.; Q' || page % 4 || ' = ' || source || '; made of ' || w || ' (XR' || page % 3 || ')', chr(13) || chr(10), chr(10)), chr(10)) AS ls FROM w),
+l AS (SELECT doc, page, unnest(ls) AS line, generate_subscripts(ls, 1) - 1 AS idx FROM x),
+s AS (SELECT doc, page, idx, trim(regexp_replace(line, '{SPACE}+', ' ', 'g')) AS t FROM l WHERE contains(line, ':') OR contains(line, '=') OR contains(line, '(')),
+d AS (SELECT doc, page, idx, unnest(regexp_extract_all(t, '^({CODE})\s*[:=]\s*(.+)$', 1)) AS code, unnest(regexp_extract_all(t, '^({CODE})\s*[:=]\s*(.+)$', 2)) AS r, 0.95::double AS confidence, 'equals' AS kind, 1 AS q FROM s
+  UNION ALL SELECT doc, page, idx, unnest(regexp_extract_all(t, '\b({CODE})\s*[:=]\s*([^;]+)', 1)), unnest(regexp_extract_all(t, '\b({CODE})\s*[:=]\s*([^;]+)', 2)), 0.88, 'inline_equals', 2 FROM s
+  UNION ALL SELECT doc, page, idx, unnest(regexp_extract_all(t, '([A-Za-z][A-Za-z0-9\s,\-]{{2,80}})\(\s*({CODE})\s*\)', 2)), unnest(regexp_extract_all(t, '([A-Za-z][A-Za-z0-9\s,\-]{{2,80}})\(\s*({CODE})\s*\)', 1)), 0.75, 'paren_reverse', 3 FROM s),
+e AS (SELECT *, regexp_replace(trim(regexp_replace(r, '{SPACE}+', ' ', 'g')), '[.,;]+$', '') AS resolved FROM d WHERE code IN ('P1', 'Q0', 'Q1', 'Q2', 'Q3', 'Q4', 'XR2')),
+t AS (SELECT doc, page, unnest(['P1', 'Q' || page % 5, 'XR2']) AS code FROM v_page),
+j AS (SELECT t.doc, t.page AS table_id, t.page, t.code, e.resolved, e.confidence, e.page AS source_page, e.idx AS source_line, e.kind, row_number() OVER (PARTITION BY t.doc, t.page, t.code ORDER BY e.confidence DESC NULLS LAST, e.page, e.idx) AS r FROM t LEFT JOIN e ON t.doc = e.doc AND t.code = e.code AND e.resolved <> '' AND e.page BETWEEN t.page - 1 AND t.page + 1)
+SELECT doc, table_id, page, code, resolved, confidence, source_page, source_line::int AS source_line, kind FROM j WHERE r = 1""",
     "reconcile_sources": f"""WITH {V_FRAGMENT}, a AS (SELECT doc, count(*) AS n, list_sort(list(DISTINCT page)) AS p, coalesce(list_sort(list(DISTINCT nullif({NUM}, '')) FILTER ({NUM} <> '')), []) AS k FROM v_fragment GROUP BY doc),
 b AS (SELECT doc, count(*) AS n, list_sort(list(DISTINCT CASE WHEN frag % 5 = 0 THEN page + 1 ELSE page END)) AS p, coalesce(list_sort(list(DISTINCT nullif({NUM}, '')) FILTER ({NUM} <> '')), []) AS k FROM v_fragment WHERE frag % 7 <> 0 GROUP BY doc),
 j AS (SELECT doc, coalesce(a.n, 0) AS an, coalesce(b.n, 0) AS bn, coalesce(a.p, []) AS ap, coalesce(b.p, []) AS bp, coalesce(a.k, []) AS ak, coalesce(b.k, []) AS bk FROM a FULL JOIN b USING (doc)),
@@ -387,7 +384,7 @@ SELECT doc, page, figure_id, path AS resolved_path, path IS NOT NULL AS resolved
     "html_grid_round_trip": f"WITH {V_GRID} SELECT table_id, array_to_string(headers, '|') AS headers, array_to_string(list_transform(rows, lambda r: array_to_string(list_resize(r, 4, ''), '|')), chr(10)) AS rows FROM v_grid",
     "markdown_table_round_trip": f"WITH {V_GRID} SELECT table_id, 'Table 1: data' AS caption, 5 AS start_line, array_to_string(headers, '|') AS headers, array_to_string(list_transform(rows, lambda r: array_to_string(list_resize(r, 4, ''), '|')), chr(10)) AS rows FROM v_grid",
     "block_tree_tables": f"WITH {V_FRAGMENT} SELECT doc, count(*) AS tables, count(*) AS captioned, max(page) AS last_page, sum(frag)::bigint AS cell_sum, count(*) AS groups FROM v_fragment WHERE frag % 3 = 0 GROUP BY doc",
-    "html_evidence": f"WITH {V_ROW} SELECT table_id, 'Head | R;' || cells[1] || ' | ' || cells[2] AS lines, 'r0: c0-c1 Head' AS joins FROM v_row WHERE idx = 1",
+    "html_evidence": f"WITH {V_ROW} SELECT table_id, idx, 'Head | R;' || cells[1] || ' | ' || cells[2] AS lines, 'r0: c0-c1 Head' AS joins FROM v_row",
     "grid_from_spans": f"""WITH {V_ROW}, c AS (SELECT table_id, idx, unnest(range(idx % 4, idx % 4 + idx % 2 + 1))::int AS "row", cells[2] AS text FROM v_row), d AS (SELECT *, unnest(range(idx % 3, idx % 3 + 2))::int AS col FROM c)
 SELECT table_id, "row", col, text FROM (SELECT *, row_number() OVER (PARTITION BY table_id, "row", col ORDER BY length(text) DESC, idx) AS k FROM d) WHERE k = 1""",
     "source_fallback": f"""WITH {V_GRID}, c AS (SELECT table_id % 97 AS doc, table_id, s.source, s.rank, CASE WHEN (table_id + s.rank) % 3 = 0 THEN [] ELSE rows END AS r, CASE WHEN (table_id + s.rank) % 5 = 0 THEN ['X', 'X', 'X', 'X'] WHEN (table_id + s.rank) % 7 = 0 THEN ['a', '', '', ''] ELSE headers END AS h FROM v_grid, (VALUES ('layout', 0), ('ocr', 1), ('markdown', 2)) s(source, rank)),

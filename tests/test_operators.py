@@ -11,6 +11,7 @@ from leafmill.functions import geometry as O
 from leafmill.functions import grid as G
 from leafmill.functions import parse, similarity
 from leafmill.functions import text as T
+from leafmill.operators import assembly as Y
 from leafmill.operators import context as C
 from leafmill.operators import doi as D
 from leafmill.operators import evaluate as E
@@ -156,9 +157,11 @@ def test_facts(spark):
 
 
 def test_evaluation(spark):
-    s = "page int, table_id string, headers array<string>, rows array<array<string>>"
-    gold = spark.createDataFrame([(1, "a", ["s", "v"], [["A", "1.2"], ["B", "2.4"]])], s)
-    pred = spark.createDataFrame([(1, "a", ["s", "v"], [["A", "1.2"], ["B", "oops"]])], s)
+    s = "doc int, page int, table_id string, headers array<string>, rows array<array<string>>"
+    gold = spark.createDataFrame([(1, 1, "a", ["s", "v"], [["A", "1.2"], ["B", "2.4"]])], s)
+    pred = spark.createDataFrame([(1, 1, "a", ["s", "v"], [["A", "1.2"], ["B", "oops"]])], s)
+    other = spark.createDataFrame([(2, 1, "a", ["s", "v"], [["A", "1.2"], ["B", "2.4"]])], s)
+    assert E.pairs(gold, other).count() == 0
     m = E.metrics(gold, pred).first()
     assert (m.precision, m.recall, m.cell_accuracy, m.numeric_parse) == (1, 1, 0.75, 0.5)
     bad = E.regression(E.metrics(gold, pred), spark.createDataFrame([(1.0, 1.0)], "precision double, recall double")).collect()
@@ -231,3 +234,112 @@ def test_columns_are_pruned(spark):
 
     plan = catalog.QUERIES["facts_summary"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
     assert "l_returnflag" not in plan and "ReadSchema" in plan
+
+
+def test_matching_stays_whole_behind_a_join_broadcast_at_run_time(spark):
+    """A page's pairs reach one walk even where the join below was dealt by page and turned into a broadcast."""
+    from leafmill.operators import matching as M
+
+    old = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled")}
+    d = spark.range(3000).select((F.col("id") % 20).cast("int").alias("doc"), F.lit(1).alias("page"), (F.col("id") % 7).alias("l"), F.col("id").alias("r"), (1 / (F.col("id") + 1)).alias("score")).repartition(9).checkpoint()
+    on = d.select("doc", "page").distinct().checkpoint()
+    for k, v in zip(old, ("-1", "10MB", "false")):
+        spark.conf.set(k, v)
+    try:
+        n = M.greedy(d.join(on.where("doc >= 0"), ["doc", "page"])).count()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert n == 20 * 7
+
+
+def test_fixed_lists(spark):
+    """Units are no codes, other short names are; stop words and headings are the fixed ones."""
+    words = ["ms", "Hz", "HZ", "kg", "PPM", "MPA", "K", "PVA", "P1", "abc", "Ab", "A", "wt", "DL"]
+    got = one(spark, **{f"w{i}": T.is_code(F.lit(w)) for i, w in enumerate(words)}).asDict()
+    assert [w for i, w in enumerate(words) if got[f"w{i}"]] == ["PPM", "MPA", "PVA", "P1", "Ab", "DL"]
+    lines = ["Result", "3.1 Results", "Conclusion", "Conclusions", "Experimental", "Methods", "Results:", "materials and methods", "Acknowledgments"]
+    got = one(spark, **{f"w{i}": F.lit(w).rlike(P.PLAIN_HEADING) for i, w in enumerate(lines)}).asDict()
+    assert [w for i, w in enumerate(lines) if got[f"w{i}"]] == ["Result", "3.1 Results", "Conclusion", "Methods", "materials and methods"]
+
+
+def test_doi_candidates_like_the_rules(spark):
+    import re
+    from urllib.parse import parse_qs, unquote, urlparse
+
+    match, prefix, tail = re.compile(r"10\.\d{4,9}/[^\s\"'<>]+", re.I), re.compile(r"^(?:https?://(?:dx\.)?doi\.org/|doi:)", re.I), ".,;:)]}>\"'"
+
+    def norm(s):
+        d = prefix.sub("", s.strip()).strip().strip("<>{}[]()")
+        return d.rstrip(tail).strip().lower()
+
+    def rules(text):
+        out = []
+        for s in dict.fromkeys([text.strip(), unquote(text.strip())]):
+            u = urlparse(s)
+            more = [*(parse_qs(u.query).get("doi", []) if u.scheme and u.netloc else []), *([u.path.lstrip("/")] if u.scheme and "doi.org" in u.netloc.lower() and u.path else [])]
+            for c in [s, *match.findall(s), *more]:
+                if (d := norm(c)) and match.fullmatch(d) and d not in out:
+                    out.append(d)
+        return out
+
+    texts = ["", "none here", "doi: 10.1000/ABC.", "(10.1000/a_b*c!)", "https://doi.org/10.1000/x;y?z=1", "https://x.org/a?b=1&doi=10.5555%2Fq%2Bw&c=2#d", "http://dx.doi.org//10.1234/(a)<b>", "see 10.1000/a, and 10.1000/A; 10.12345678/é", "10.1/short", '"10.1000/quoted"', "https%3A%2F%2Fdoi.org%2F10.7777%2Fenc", "100% of 10.1000/pc%zz", "a+b 10.1000/x+y"]
+    got = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", T.doi_candidates(F.col("t")).alias("d")).collect()
+    assert {r.i: r.d for r in got} == {i: rules(t) for i, t in enumerate(texts)}
+
+
+def test_bibliography_like_the_rules(spark):
+    page = "# [Viscosity](x) of *Dilute* Polymer Solutions\n\nAnn B. Lee, Carl Oh-Niel and Eve Doe*\nDepartment of Physics, Some University\nJournal of Flow 12 (2003) 1-9 doi:10.1000/JF.2003.\nAbstract\nWe measure."
+    short = "doi:10.1000/only\nTwo words\nA longer line of text with five words\nAnn Lee\nKeywords: x\nBob Lee, Eve Doe"
+    d = spark.createDataFrame([(1, 1, page), (2, 1, short), (3, 1, None), (1, 2, "Another page of the same document")], "doc int, page int, text string")
+    got = {r.doc: r for r in P.bibliography(d).collect()}
+    assert set(got) == {1, 2, 3}
+    r = got[1]
+    assert (r.title, r.authors, r.year, r.doi, r.journal_ref) == ("Viscosity of Dilute Polymer Solutions", ["Ann B. Lee", "Carl Oh-Niel", "Eve Doe"], "2003", "10.1000/JF.2003", "Journal of Flow 12 (2003) 1-9 .")
+    assert (got[2].title, got[2].authors, got[2].year, got[2].doi) == ("A longer line of text with five words", [], "", "10.1000/only")
+    assert (got[3].title, got[3].authors, got[3].journal_ref) == ("", [], "")
+
+
+def test_abstract_beside_plain_python(spark):
+    """Whole texts of five pages, some with a heading, blank lines, other headings and keywords."""
+    import random
+    import re
+
+    rng = random.Random(5)
+    parts = ["One sentence here. Another one! A third? ", "", "## Abstract", "Abstract:", "# Heading", "Introduction", "Keywords: a, b", "*some* [text](link) without stop", "doi: 10.1000/x", "long " * 120 + "end."]
+    pages = [(d, p, "\n".join(rng.choices(parts, k=rng.randint(0, 9)))) for d in range(150) for p in range(1, 8)]
+
+    def clean(s):
+        s = re.sub(r"\[([^\]]+)\]\([^)]+\)", r"\1", re.sub(r"^#{1,6}\s+", "", s.strip()))
+        return re.sub(r"\s+", " ", re.sub(r"[`*_~]+", "", s)).strip()
+
+    def clip(s):
+        s = re.sub(r"\s+", " ", s).strip()
+        out = " ".join(re.split(r"(?<=[.!?])\s+", s)[:2]).strip()
+        return out if len(out) <= 480 else out[:477].rstrip() + "..."
+
+    mark, plain = re.compile(r"^\s{0,3}(#{1,6})\s+(.+?)\s*$"), re.compile(P.PLAIN_HEADING)
+    for doc, got in [(r.doc, r.abstract) for r in Y.abstract(P.lines(spark.createDataFrame(pages, "doc int, page int, text string"))).collect()]:
+        lines = [x.strip() for d, p, t in pages if d == doc and p <= 5 for x in [f"# Page {p}", "", *t.split("\n"), ""]]
+        said, on = [], False
+        for x in lines:
+            if not x:
+                if on and said:
+                    break
+                continue
+            if re.match(r"(?i)^(?:#{1,6}\s*)?abstract\s*:?\s*$", x):
+                on = True
+            elif on:
+                if mark.match(x) or plain.match(x) or x.lower().startswith("keywords"):
+                    break
+                said.append(clean(x))
+        if not said:
+            for x in [x.strip() for d, p, t in pages if d == doc and p <= 2 for x in [f"# Page {p}", "", *t.split("\n"), ""]]:
+                if not x:
+                    if said:
+                        break
+                    continue
+                if mark.match(x) or not clean(x) or clean(x).lower().startswith(("keywords", "doi:")):
+                    continue
+                said.append(clean(x))
+        assert got == clip(" ".join(said)), (doc, lines)

@@ -32,6 +32,6 @@ def test_every_page_takes_part(spark, tmp_path):
     o.write.parquet(f"{tmp_path}/orders.parquet")
     at = W._spread(spark, str(tmp_path), W.v_fragment(spark, str(tmp_path)), "frag").select("doc", "page").distinct()
     assert at.count() == 1200 and W.v_page(spark, str(tmp_path)).join(at, ["doc", "page"]).count() == 1200
-    for q in (W.page_window_whole, W.review_context_whole, W.born_digital_whole):
+    for q in (W.page_window_context, W.review_context, W.born_digital):
         rows = q(spark, str(tmp_path)).collect()
         assert len(rows) == 2400 and {r.doc for r in rows} == set(range(60))
