@@ -13,6 +13,10 @@ from .pages import MARKDOWN_HEADING, PLAIN_HEADING, page_texts
 PLACEHOLDERS = ("string", "<summary text>", "<topic>", "<section title>", "<section summary>", "...", "…")
 
 
+#: Carried along where fragments have it: the least of a table's.
+CONFIDENCE = ("caption_confidence",)
+
+
 def in_order(order: list[str], value: Column) -> Column:
     """value of each row of a group, by order."""
     return F.transform(F.array_sort(F.collect_list(F.struct(*order, value.alias("_v")))), lambda x: x["_v"])
@@ -26,13 +30,13 @@ def canonical(chained: DataFrame) -> DataFrame:
     """
     g = chained.groupBy("doc", "group_key").agg(
         in_order(["page", "frag"], F.col("frag").cast("string")).alias("fragment_ids"), F.array_sort(F.collect_set("page")).alias("pages"), in_order(["page", "frag"], T.blank(F.col("caption"))).alias("_c"),
-        F.min_by("header_rows", F.struct("page", "frag")).alias("header_rows"), F.flatten(in_order(["page", "frag"], F.col("data_rows"))).alias("_r"),
+        F.min_by("header_rows", F.struct("page", "frag")).alias("header_rows"), *[F.min(c).alias(c) for c in CONFIDENCE if c in chained.columns], F.flatten(in_order(["page", "frag"], F.col("data_rows"))).alias("_r"),
     )
     none = F.array().cast("array<array<string>>")
     rows = F.aggregate("_r", none, lambda a, x: F.when((F.size(a) > 0) & F.element_at(F.concat(F.array(F.array(F.lit("\x00"))), a), -1).eqNullSafe(x), a).otherwise(F.concat(a, F.array(x))))
     return g.select(
         "doc", T.stable_id(F.col("group_key"), F.array_join("fragment_ids", ","), sep="|").alias("table_id"), F.col("group_key").alias("table_group_id"), "fragment_ids", "pages",
-        F.coalesce(F.get(F.filter("_c", lambda x: x != ""), F.lit(0)), F.lit("")).alias("caption"), "header_rows", rows.alias("data_rows"), F.when(F.size("fragment_ids") > 1, 0.9).otherwise(1.0).alias("merge_confidence"),
+        F.coalesce(F.get(F.filter("_c", lambda x: x != ""), F.lit(0)), F.lit("")).alias("caption"), "header_rows", rows.alias("data_rows"), F.when(F.size("fragment_ids") > 1, 0.9).otherwise(1.0).alias("merge_confidence"), *[F.col(c) for c in CONFIDENCE if c in chained.columns],
     )
 
 
@@ -45,8 +49,9 @@ def split_header(row: Column, n: Column) -> Column:
 def merge_continuations(tables: DataFrame, pairs: DataFrame) -> DataFrame:
     """tables (canonical()'s) with each pair (doc, first, second) as one table over both pages, the rest as they are."""
     a = tables.join(pairs.withColumnRenamed("first", "table_id"), ["doc", "table_id"])
-    b = tables.select("doc", F.col("table_id").alias("second"), *[F.col(c).alias(f"_{c}") for c in ("fragment_ids", "pages", "caption", "header_rows", "data_rows")])
+    b = tables.select("doc", F.col("table_id").alias("second"), *[F.col(c).alias(f"_{c}") for c in ("fragment_ids", "pages", "caption", "header_rows", "data_rows", *CONFIDENCE) if c in tables.columns])
     j = a.join(b, ["doc", "second"])
+    sure = [F.least(c, f"_{c}").alias(c) for c in CONFIDENCE if c in tables.columns]
     wide = lambda c: F.coalesce(F.array_max(F.transform(c, F.size)), F.lit(0))
     lines = lambda r: F.aggregate(F.transform(r, lambda c: F.greatest(F.lit(1), F.size(F.filter(F.split(c, "\n"), lambda x: F.trim(x) != "")))), F.lit(0), lambda s, x: s + x)
     n = F.greatest(wide("_data_rows"), wide("_header_rows"), F.coalesce(F.array_max(F.transform("header_rows", lines)), F.lit(0)))
@@ -54,7 +59,7 @@ def merge_continuations(tables: DataFrame, pairs: DataFrame) -> DataFrame:
     heads = F.array_distinct(F.filter(heads, lambda r: F.exists(r, lambda x: F.trim(x) != "")))
     merged = j.select(
         "doc", "table_id", "table_group_id", F.array_distinct(F.concat("fragment_ids", "_fragment_ids")).alias("fragment_ids"), F.array_sort(F.array_distinct(F.concat("pages", "_pages"))).alias("pages"),
-        F.coalesce(F.nullif(F.trim("caption"), F.lit("")), F.col("_caption")).alias("caption"), heads.alias("header_rows"), F.transform("_data_rows", lambda r: G.pad(r, n)).alias("data_rows"), F.least("merge_confidence", F.lit(0.85)).alias("merge_confidence"), F.lit(True).alias("cross_page_merged"),
+        F.coalesce(F.nullif(F.trim("caption"), F.lit("")), F.col("_caption")).alias("caption"), heads.alias("header_rows"), F.transform("_data_rows", lambda r: G.pad(r, n)).alias("data_rows"), F.least("merge_confidence", F.lit(0.85)).alias("merge_confidence"), *sure, F.lit(True).alias("cross_page_merged"),
     )
     used = pairs.select("doc", F.explode(F.array("first", "second")).alias("table_id"))
     return merged.unionByName(tables.join(used, ["doc", "table_id"], "left_anti").withColumn("cross_page_merged", F.lit(False)))

@@ -84,7 +84,7 @@ def raw_tables(blocks: DataFrame) -> DataFrame:
 def fragments_of(raw: DataFrame) -> DataFrame:
     """Raw table rows as typed fragments; ids hash one canonical text of what places the fragment."""
     where = F.concat_ws(",", F.transform(F.coalesce("bbox", F.array().cast("array<double>")), lambda x: x.cast("decimal(18,3)").cast("string")))
-    return raw.select("doc", "page", T.stable_id(F.col("doc"), F.col("page"), F.col("table_group_id"), where, sep="|").alias("frag"), F.nullif(F.col("table_group_id"), F.lit("")).alias("group"), F.col("caption_text").alias("caption"), F.array_distinct(F.flatten(F.transform(F.coalesce(F.get("header_rows", F.lit(0)), F.array().cast("array<string>")), T.tokens))).alias("tokens"), "header_rows", "data_rows")
+    return raw.select("doc", "page", T.stable_id(F.col("doc"), F.col("page"), F.col("table_group_id"), where, sep="|").alias("frag"), F.nullif(F.col("table_group_id"), F.lit("")).alias("group"), F.col("caption_text").alias("caption"), F.array_distinct(F.flatten(F.transform(F.coalesce(F.get("header_rows", F.lit(0)), F.array().cast("array<string>")), T.tokens))).alias("tokens"), "header_rows", "data_rows", "caption_confidence")
 
 
 def complete(rows: DataFrame, table: list[str]) -> DataFrame:
