@@ -343,3 +343,20 @@ def test_abstract_beside_plain_python(spark):
                     continue
                 said.append(clean(x))
         assert got == clip(" ".join(said)), (doc, lines)
+
+
+@pytest.mark.parametrize(("block", "meta"), [
+    ("a: 1\nb: 'it''s'\nc: \"x: y\"\nd:\n", {"a": "1", "b": "it's", "c": "x: y", "d": None}),
+    ("# comment\nauthors:\n  - Ann Lee\n  - name: Bob\n    year: 2001\nwhere:\n  city: Rome # old\n  at: [1, 2.5, 'c, d', {k: v}]\nlast: true\n", {"authors": '["Ann Lee", {"name": "Bob", "year": 2001}]', "where": '{"city": "Rome", "at": [1, 2.5, "c, d", {"k": "v"}]}', "last": "true"}),
+    ("tags:\n- a\n- b\nurl: http://x.org/a\n", {"tags": '["a", "b"]', "url": "http://x.org/a"}),
+    ("- only\n- a list\n", {}), ("", {}),
+])
+def test_front_matter_nested(block, meta):
+    assert parse.front_matter_of(f"---\n{block}---\nbody\n---\n") == {"meta": meta, "body": "body\n---\n"}
+
+
+@pytest.mark.parametrize("block", ["no map here\n", "a: 'open\n", "a: b: c\n", "a: 1\n    b: 2\n", "a: [1, 2\n", "a: |\n  text\n"])
+def test_front_matter_that_cannot_be_read_stays(block):
+    t = f"---\n{block}---\nbody"
+    assert parse.front_matter_of(t) == {"meta": {}, "body": t}
+
