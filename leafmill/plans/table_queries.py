@@ -227,7 +227,7 @@ def markdown_table_round_trip(spark, sf):
 
 def block_tree_tables(spark, sf):
     """Nested layout JSON of a document's fragments, flattened to raw tables with captions."""
-    f = v_fragment(spark, sf).where("frag % 3 = 0")
+    f = v_fragment(spark, sf)
     node = F.struct(F.concat(F.lit("/page/"), (F.col("page") - 1).cast("string"), F.lit("/Table/"), F.col("frag").cast("string")).alias("id"), F.lit("Table").alias("block_type"), F.array(F.lit(0.0), (F.col("frag") % 500).cast("double"), F.lit(9.0), F.lit(9.0)).alias("bbox"), F.concat(F.lit("<table><tr><th>A</th></tr><tr><td>"), F.col("frag").cast("string"), F.lit("</td></tr></table>")).alias("html"))
     cap = F.struct(F.concat(F.lit("/page/"), (F.col("page") - 1).cast("string"), F.lit("/Caption/"), F.col("frag").cast("string")).alias("id"), F.lit("Caption").alias("block_type"), F.array(F.lit(0.0), (F.col("frag") % 500).cast("double") - 1, F.lit(9.0), F.lit(9.0)).alias("bbox"), F.concat(F.lit("<p>"), F.col("caption"), F.lit("</p>")).alias("html"))
     tree = F.to_json(F.struct(F.array_sort(F.collect_list(F.struct("frag", F.struct(F.array(node, cap).alias("children")).alias("group")))).alias("children")))
@@ -383,7 +383,7 @@ j AS (SELECT g.*, f.path, row_number() OVER (PARTITION BY g.doc, g.page, figure_
 SELECT doc, page, figure_id, path AS resolved_path, path IS NOT NULL AS resolved FROM j WHERE r = 1""",
     "html_grid_round_trip": f"WITH {V_GRID} SELECT table_id, array_to_string(headers, '|') AS headers, array_to_string(list_transform(rows, lambda r: array_to_string(list_resize(r, 4, ''), '|')), chr(10)) AS rows FROM v_grid",
     "markdown_table_round_trip": f"WITH {V_GRID} SELECT table_id, 'Table 1: data' AS caption, 5 AS start_line, array_to_string(headers, '|') AS headers, array_to_string(list_transform(rows, lambda r: array_to_string(list_resize(r, 4, ''), '|')), chr(10)) AS rows FROM v_grid",
-    "block_tree_tables": f"WITH {V_FRAGMENT} SELECT doc, count(*) AS tables, count(*) AS captioned, max(page) AS last_page, sum(frag)::bigint AS cell_sum, count(*) AS groups FROM v_fragment WHERE frag % 3 = 0 GROUP BY doc",
+    "block_tree_tables": f"WITH {V_FRAGMENT} SELECT doc, count(*) AS tables, count(*) AS captioned, max(page) AS last_page, sum(frag)::bigint AS cell_sum, count(*) AS groups FROM v_fragment GROUP BY doc",
     "html_evidence": f"WITH {V_ROW} SELECT table_id, idx, 'Head | R;' || cells[1] || ' | ' || cells[2] AS lines, 'r0: c0-c1 Head' AS joins FROM v_row",
     "grid_from_spans": f"""WITH {V_ROW}, c AS (SELECT table_id, idx, unnest(range(idx % 4, idx % 4 + idx % 2 + 1))::int AS "row", cells[2] AS text FROM v_row), d AS (SELECT *, unnest(range(idx % 3, idx % 3 + 2))::int AS col FROM c)
 SELECT table_id, "row", col, text FROM (SELECT *, row_number() OVER (PARTITION BY table_id, "row", col ORDER BY length(text) DESC, idx) AS k FROM d) WHERE k = 1""",
