@@ -44,12 +44,12 @@ def page_outcome(spark, sf):
 
 
 def markdown_normalize(spark, sf):
-    t = F.concat(F.lit("#Title  \n- x\n*   y\nTABLE 3.  "), F.regexp_replace(F.substring("text", 1, 60), r"[\n\r]", " "), F.lit("\n| a|b |\n\n\n\n"), F.col("text"))
-    return v_page(spark, sf).select("doc", "page", T.normalize_markdown(F.regexp_replace(t, r"[^\x20-\x7e\n]", "?")).alias("markdown"))
+    t = F.concat(F.lit("#Title  \n- x\n*   y\nTABLE 3.  "), F.regexp_replace("text", r"[\n\r]", " "), F.lit("\n| a|b |\n\n\n\n"), F.col("text"))
+    return v_page(spark, sf).select("doc", "page", T.normalize_markdown(t).alias("markdown"))
 
 
 def html_plain_text(spark, sf):
-    return table(spark, sf, "pages").select("page_id", T.plain_text(F.regexp_replace("html", r"[^\x20-\x7e\n]", "?")).alias("plain"))
+    return table(spark, sf, "pages").select("page_id", T.plain_text(F.col("html")).alias("plain"))
 
 
 def symbols(spark, sf):
@@ -67,7 +67,7 @@ def keyword_topics(spark, sf):
 
 
 def summary_two_sentences(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", T.two_sentences(F.regexp_replace("text", r"[^\x21-\x7e]+", " ")).alias("summary"))
+    return table(spark, sf, "documents").select("doc_id", T.two_sentences(F.col("text")).alias("summary"))
 
 
 def _headed(spark, sf):
@@ -123,7 +123,6 @@ def front_matter(spark, sf):
     return d.withColumn("f", parse.front_matter("t")).select("doc_id", F.col("f.meta")["lang"].alias("lang"), F.col("f.meta")["source"].alias("source"), F.md5("f.body").alias("body_md5"))
 
 
-ASCII = r"regexp_replace({}, '[^\x20-\x7e\n]', '?', 'g')"
 SQUEEZE = rf"trim(regexp_replace({{}}, '{WS}+', ' ', 'g'))"
 CLEAN_LINE = SQUEEZE.format(r"regexp_replace(regexp_replace(regexp_replace(trim({}), '^#{{1,6}}\s+', ''), '\[([^\]]+)\]\([^)]+\)', '\1', 'g'), '[`*_~]+', '', 'g')")
 CLIP = "CASE WHEN length({0}) > {1} THEN rtrim(substr({0}, 1, {1} - 3)) || '...' ELSE {0} END"
@@ -137,14 +136,14 @@ SELECT doc, pages, first_route, oks / pages >= 0.6 AND (first_route = 'anchored'
     "page_outcome": f"""WITH {V_PAGE}, a AS (SELECT doc, page, page % 3 = 0 AS st, length(text) >= 500 AS ht, (SELECT min(i) FROM range(4) t(i) WHERE (length(text) + i) % 5 < 2)::int AS attempt FROM v_page)
 SELECT doc, page, CASE WHEN st AND attempt = 0 THEN 'structured_ok' WHEN st THEN 'structured_fallback' WHEN ht THEN 'text_only' WHEN attempt IS NULL THEN 'skipped' ELSE 'ok' END AS status, attempt FROM a""",
     "markdown_normalize": rf"""WITH {V_PAGE},
-a AS (SELECT doc, page, {ASCII.format(r"'#Title  ' || chr(10) || '- x' || chr(10) || '*   y' || chr(10) || 'TABLE 3.  ' || regexp_replace(substr(text, 1, 60), '[\n\r]', ' ', 'g') || chr(10) || '| a|b |' || repeat(chr(10), 4) || text")} AS t FROM v_page),
+a AS (SELECT doc, page, {(r"'#Title  ' || chr(10) || '- x' || chr(10) || '*   y' || chr(10) || 'TABLE 3.  ' || regexp_replace(text, '[\n\r]', ' ', 'g') || chr(10) || '| a|b |' || repeat(chr(10), 4) || text")} AS t FROM v_page),
 b AS (SELECT doc, page, regexp_replace(regexp_replace(regexp_replace(t, '(?m)[ \t]+$', '', 'g'), '(?m)^(#{{1,6}})([^\s#])', '\1 \2', 'g'), '(?m)^(\s*[-*+])\s{{2,}}', '\1 ', 'g') AS t FROM a),
 c AS (SELECT doc, page, array_to_string(list_transform(string_split(t, chr(10)), lambda x: CASE
     WHEN regexp_full_match(trim(x), '\|.*\|') THEN '| ' || array_to_string(list_transform(string_split(regexp_extract(trim(x), '^\|+(.*?)\|+$', 1), '|'), lambda y: trim(y)), ' | ') || ' |'
     WHEN regexp_matches(x, '(?i)^(figure|table)\s+([0-9]+)\s*[:.\-]?\s*(.+)$') THEN upper(substr(regexp_extract(x, '(?i)^(figure|table)', 1), 1, 1)) || lower(substr(regexp_extract(x, '(?i)^(figure|table)', 1), 2)) || ' ' || regexp_extract(x, '(?i)^(figure|table)\s+([0-9]+)', 2) || ': ' || trim(regexp_extract(x, '(?i)^(figure|table)\s+([0-9]+)\s*[:.\-]?\s*(.+)$', 3))
     ELSE x END), chr(10)) AS t FROM b)
 SELECT doc, page, regexp_replace(regexp_replace(t, '\n{{3,}}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g') || chr(10) AS markdown FROM c""",
-    "html_plain_text": rf"""WITH a AS (SELECT page_id, regexp_replace(regexp_replace({ASCII.format('html')}, '(?i)<br\s*/?>', chr(10), 'g'), '<[^>]+>', ' ', 'g') AS t FROM pages)
+    "html_plain_text": rf"""WITH a AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?i)<br\s*/?>', chr(10), 'g'), '<[^>]+>', ' ', 'g') AS t FROM pages)
 SELECT page_id, {SQUEEZE.format("replace(replace(replace(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', chr(39)), '&nbsp;', ' '), '&amp;', '&')")} AS plain FROM a""",
     "symbols": r"""WITH s AS (SELECT doc_id, regexp_extract_all(text, '([^\x00-\x7F])') AS f, regexp_replace(lower(text), '[^a-z0-9]+', '', 'g') AS g FROM documents)
 SELECT doc_id, coalesce(array_to_string(list_filter(f, lambda x, i: list_position(f, x) = i), ''), '') AS symbols, length(g)::int AS signature_chars, sha1(g) AS signature FROM s""",
@@ -154,7 +153,7 @@ SELECT * FROM (SELECT doc_id, word, n, row_number() OVER (PARTITION BY doc_id OR
     "keyword_topics": r"""WITH a AS (SELECT doc_id, regexp_split_to_array(text || chr(10) || '## Keywords: .;' || chr(10) || ' keyword : Spark, spark; ' || source || ' .,' || lang || '; SPARK, a é.' || chr(13) || chr(10) || 'Keywords: last', '\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]') AS ls FROM documents),
 b AS (SELECT doc_id, list_filter(list_transform(list_filter(ls, lambda x: regexp_matches(x, '(?i)^\s{0,3}(?:#{1,6}\s*)?keywords?\s*:\s*(.+)$')), lambda x: list_filter(list_transform(regexp_split_to_array(regexp_extract(x, '(?i)^\s{0,3}(?:#{1,6}\s*)?keywords?\s*:\s*(.+)$', 1), '[;,]'), lambda y: regexp_replace(y, '^[ .]+|[ .]+$', '', 'g')), lambda y: y <> '')), lambda x: len(x) > 0)[1] AS f FROM a)
 SELECT doc_id, array_to_string(list_slice(list_filter(f, lambda x, i: list_position(list_transform(f, lambda y: lower(y)), lower(x)) = i), 1, 8), '|') AS topics FROM b""",
-    "summary_two_sentences": rf"""WITH a AS (SELECT doc_id, trim(regexp_replace(text, '[^\x21-\x7e]+', ' ', 'g')) AS t FROM documents),
+    "summary_two_sentences": rf"""WITH a AS (SELECT doc_id, {SQUEEZE.format('text')} AS t FROM documents),
 b AS (SELECT doc_id, array_to_string(list_slice(string_split(regexp_replace(t, '([.!?])\s+', '\1' || chr(1), 'g'), chr(1)), 1, 2), ' ') AS s FROM a)
 SELECT doc_id, {CLIP.format('s', 480)} AS summary FROM b""",
     "sections": rf"""WITH {V_PAGE},
