@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import re
 from difflib import SequenceMatcher
 
 import pytest
@@ -360,3 +361,22 @@ def test_front_matter_that_cannot_be_read_stays(block):
     t = f"---\n{block}---\nbody"
     assert parse.front_matter_of(t) == {"meta": {}, "body": t}
 
+
+
+def test_definitions_beside_a_plain_search(spark):
+    """Every definition of random lines, as a plain regular expression finds it."""
+    rng = random.Random(7)
+    parts = ["P1", "PS-2", "AB", "resin", "of ", " ", ":", "=", "(", ")", ";", ",", " (P3)", "a long name (Q4) ", "é", ".", "x9 = ", "  "]
+    lines = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(3000)] + ["", "P1 = " + "word " * 40 + "(R7)"]
+    d = spark.createDataFrame([("d", 1, i, t) for i, t in enumerate(lines)], "doc string, page int, idx int, line string")
+    got = {(r.idx, r.code, r.resolved, r.kind, r.seq) for r in C.definitions(d).collect()}
+    tidy = lambda t: re.sub(r"[.,;]+$", "", t.strip())
+    token, want = C.TOKEN, []
+    for i, line in enumerate(lines):
+        t = re.sub(r"\s+", " ", line).strip()
+        for kind, pattern, code, text in (("equals", rf"^({token})\s*[:=]\s*(.+)$", 1, 2), ("inline_equals", rf"\b({token})\s*[:=]\s*([^;]+)", 1, 2), ("paren_reverse", rf"([A-Za-z][A-Za-z0-9\s,\-]{{2,80}})\(\s*({token})\s*\)", 2, 1)):
+            want += [(i, m.group(code), tidy(m.group(text)), kind, n) for n, m in enumerate(re.finditer(pattern, t))]
+    w = spark.createDataFrame(want, "idx int, code string, resolved string, kind string, seq int")
+    want = {tuple(r) for r in w.where(T.is_code(F.col("code")) & (F.col("resolved") != "")).collect()}
+    assert len(want) > 500 and {k for _, _, _, k, _ in want} == {"equals", "inline_equals", "paren_reverse"}
+    assert got == want
