@@ -1,9 +1,14 @@
-"""Scalar text expressions: Column in, Column out, all inside code generation."""
+"""Scalar text expressions: Column in, Column out, inside code generation but for rare character references."""
 
 from __future__ import annotations
 
+from html import unescape
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 # Names of Greek letters as typesetters write them, and the letters.
 GREEK = {
@@ -167,11 +172,19 @@ def plain_words(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(blank(c)), "[^a-z0-9]+", " "))
 
 
+@pandas_udf(StringType())
+def _unescape(t: pd.Series) -> pd.Series:
+    return t.map(unescape, na_action="ignore")
+
+
 def plain_text(html: Column) -> Column:
+    """Text without tags; the common character references are decoded natively, only texts with others go to Python."""
     t = F.regexp_replace(F.regexp_replace(blank(html), r"(?i)<br\s*/?>", "\n"), "<[^>]+>", " ")
+    common = t
     for name, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        t = F.replace(t, F.lit(name), F.lit(ch))
-    return squeeze(t)
+        common = F.replace(common, F.lit(name), F.lit(ch))
+    others = t.rlike("&(?!(?:lt|gt|quot|#39|nbsp|amp);)[#A-Za-z]")
+    return squeeze(F.when(others, _unescape(F.when(others, t))).otherwise(common))
 
 
 def normalize_markdown(c: Column) -> Column:

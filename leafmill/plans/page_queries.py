@@ -124,6 +124,9 @@ def front_matter(spark, sf):
 
 
 SQUEEZE = rf"trim(regexp_replace({{}}, '{WS}+', ' ', 'g'))"
+REFERENCES = "t"  # the character references that the pages hold, with or without a semicolon
+for _name, _ch in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "''"), ("nbsp", " "), ("copy", "©"), ("middot", "·"), ("amp", "&")):
+    REFERENCES = f"regexp_replace({REFERENCES}, '&{_name};?', '{_ch}', 'g')"
 CLEAN_LINE = SQUEEZE.format(r"regexp_replace(regexp_replace(regexp_replace(trim({}), '^#{{1,6}}\s+', ''), '\[([^\]]+)\]\([^)]+\)', '\1', 'g'), '[`*_~]+', '', 'g')")
 CLIP = "CASE WHEN length({0}) > {1} THEN rtrim(substr({0}, 1, {1} - 3)) || '...' ELSE {0} END"
 
@@ -144,7 +147,7 @@ c AS (SELECT doc, page, array_to_string(list_transform(string_split(t, chr(10)),
     ELSE x END), chr(10)) AS t FROM b)
 SELECT doc, page, regexp_replace(regexp_replace(t, '\n{{3,}}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g') || chr(10) AS markdown FROM c""",
     "html_plain_text": rf"""WITH a AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?i)<br\s*/?>', chr(10), 'g'), '<[^>]+>', ' ', 'g') AS t FROM pages)
-SELECT page_id, {SQUEEZE.format("replace(replace(replace(replace(replace(replace(t, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', chr(39)), '&nbsp;', ' '), '&amp;', '&')")} AS plain FROM a""",
+SELECT page_id, {SQUEEZE.format(REFERENCES)} AS plain FROM a""",
     "symbols": r"""WITH s AS (SELECT doc_id, regexp_extract_all(text, '([^\x00-\x7F])') AS f, regexp_replace(lower(text), '[^a-z0-9]+', '', 'g') AS g FROM documents)
 SELECT doc_id, coalesce(array_to_string(list_filter(f, lambda x, i: list_position(f, x) = i), ''), '') AS symbols, length(g)::int AS signature_chars, sha1(g) AS signature FROM s""",
     "topics": rf"""WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z][a-z0-9-]{{3,}}')) AS word FROM documents),
