@@ -1,14 +1,9 @@
-"""Scalar text expressions: Column in, Column out, inside code generation but for rare character references."""
+"""Scalar text expressions: Column in, Column out, all inside code generation."""
 
 from __future__ import annotations
 
-from html import unescape
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import StringType
 
 # Names of Greek letters as typesetters write them, and the letters.
 GREEK = {
@@ -16,6 +11,11 @@ GREEK = {
     "pi": "π", "rho": "ρ", "sigma": "σ", "tau": "τ", "phi": "φ", "psi": "ψ", "omega": "ω", "Gamma": "Γ", "Delta": "Δ", "Theta": "Θ",
     "Lambda": "Λ", "Pi": "Π", "Sigma": "Σ", "Phi": "Φ", "Psi": "Ψ", "Omega": "Ω",
 }
+# Character references that are decoded; `amp` comes last.
+REFERENCES = {
+    "lt": "<", "gt": ">", "quot": '"', "#39": "'", "apos": "'", "nbsp": " ", "copy": "©", "reg": "®", "middot": "·", "deg": "°", "plusmn": "±", "times": "×", "micro": "µ", "alpha": "α",
+    "beta": "β", "gamma": "γ", "delta": "δ", "mu": "μ", "Delta": "Δ", "ndash": "–", "mdash": "—", "minus": "−", "hellip": "…", "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”", "le": "≤", "ge": "≥",
+}
 # Fixed value: which words in a header or caption count as units.
 UNITS = r"(?i)(\bpa\b|\bwt\b|mol|g|kg|mg|ml|dl|l|%|°c|°k|ppm|\bm\b|\bs\b)"
 # Table numbers and continuation marks in captions, numbers in cells.
@@ -172,19 +172,14 @@ def plain_words(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(blank(c)), "[^a-z0-9]+", " "))
 
 
-@pandas_udf(StringType())
-def _unescape(t: pd.Series) -> pd.Series:
-    return t.map(unescape, na_action="ignore")
-
-
 def plain_text(html: Column) -> Column:
-    """Text without tags; the common character references are decoded natively, only texts with others go to Python."""
+    """Text without tags, the listed character references decoded."""
     t = F.regexp_replace(F.regexp_replace(blank(html), r"(?i)<br\s*/?>", "\n"), "<[^>]+>", " ")
-    common = t
-    for name, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        common = F.replace(common, F.lit(name), F.lit(ch))
-    others = t.rlike("&(?!(?:lt|gt|quot|#39|nbsp|amp);)[#A-Za-z]")
-    return squeeze(F.when(others, _unescape(F.when(others, t))).otherwise(common))
+    decoded = t
+    for name, ch in REFERENCES.items():
+        decoded = F.replace(decoded, F.lit(f"&{name};"), F.lit(ch))
+    decoded = F.regexp_replace(decoded, "&amp;?", "&")
+    return squeeze(F.when(t.contains("&"), decoded).otherwise(t))
 
 
 def normalize_markdown(c: Column) -> Column:
