@@ -49,7 +49,7 @@ def markdown_normalize(spark, sf):
 
 
 def html_plain_text(spark, sf):
-    return table(spark, sf, "pages").select("page_id", T.plain_text(F.col("html")).alias("plain"))
+    return table(spark, sf, "pages").select("page_id", F.when(F.col("html").isNotNull(), T.plain_text(F.col("html"))).alias("plain"))
 
 
 def symbols(spark, sf):

@@ -390,3 +390,14 @@ def test_plain_text_decodes_references(spark):
     got = {r.i: r.p for r in d.select("i", T.plain_text(F.col("t")).alias("p")).collect()}
     want = {i: " ".join(html.unescape(re.sub("<[^>]+>", " ", re.sub(r"(?i)<br\s*/?>", "\n", t or ""))).split()) for i, t in enumerate(texts)}
     assert got == want
+
+
+def test_plain_text_query_equals_sql_on_unclosed_references(spark, duck, tmp_path):
+    from conftest import same_rows
+
+    from leafmill.plans import catalog
+
+    html = ["<p>token = &quot p{margin:0}</p>", "5 &lt 6&gt;&copy 2&middot 3", "cut &quo", "x&#39y&amp z&nbsp", "", None]
+    spark.createDataFrame([(i, t) for i, t in enumerate(html)], "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    sql = catalog.SQL["html_plain_text"].replace("FROM pages", f"FROM '{tmp_path}/pages.parquet/*.parquet'")
+    assert same_rows(duck, catalog.QUERIES["html_plain_text"](spark, str(tmp_path)), sql) == (0, len(html))
