@@ -20,10 +20,10 @@ AFFILIATION = "(?i)university|department|school|laboratory|institute|college|cen
 
 
 def span_text(spans: DataFrame) -> DataFrame:
-    """Text blocks' spans, in order, joined by newlines: one row a page."""
-    kept = spans.where((F.col("type") == 0) & (F.coalesce("text", F.lit("")) != ""))
-    parts = F.array_sort(F.collect_list(F.struct("block", "line", "span", "text")))
-    return kept.groupBy("doc_id", "page").agg(F.array_join(F.transform(parts, lambda p: p["text"]), "\n").alias("text"))
+    """Text blocks' spans, in order, joined by newlines: one row a page, empty where no span says anything, null where none has a text."""
+    said = F.when((F.col("type") == 0) & (F.col("text") != ""), F.struct("block", "line", "span", "text"))
+    parts = F.array_sort(F.collect_list(said))
+    return spans.groupBy("doc_id", "page").agg(F.when(F.count("text") > 0, F.array_join(F.transform(parts, lambda p: p["text"]), "\n")).alias("text"))
 
 
 def heuristics(text: Column) -> Column:

@@ -128,7 +128,7 @@ def new_manifests(spark, sf):
 
 def span_text(spark, sf):
     """Lines of documents as spans of a page's text blocks, put together again."""
-    d = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), F.lit(1).alias("page"), F.posexplode(F.split("text", "\n")).alias("line", "text"))
+    d = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), F.lit(1).alias("page"), F.posexplode_outer(F.split("text", "\n")).alias("line", "text"))
     s = d.select("doc_id", "page", F.lit(0).alias("block"), "line", F.lit(0).alias("span"), F.lit(0).alias("type"), "text")
     return P.span_text(s.unionByName(s.withColumn("type", F.lit(1)))).select("doc_id", "page", F.md5("text").alias("text_md5"))
 

@@ -401,3 +401,14 @@ def test_plain_text_query_equals_sql_on_unclosed_references(spark, duck, tmp_pat
     spark.createDataFrame([(i, t) for i, t in enumerate(html)], "page_id long, html string").write.parquet(str(tmp_path / "pages.parquet"))
     sql = catalog.SQL["html_plain_text"].replace("FROM pages", f"FROM '{tmp_path}/pages.parquet/*.parquet'")
     assert same_rows(duck, catalog.QUERIES["html_plain_text"](spark, str(tmp_path)), sql) == (0, len(html))
+
+
+def test_span_text_query_equals_sql_on_empty_texts(spark, duck, tmp_path):
+    from conftest import same_rows
+
+    from leafmill.plans import catalog
+
+    texts = ["a\n\nb", "", "\n\n", None, " \n"]
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    sql = catalog.SQL["span_text"].replace("FROM documents", f"FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert same_rows(duck, catalog.QUERIES["span_text"](spark, str(tmp_path)), sql) == (0, len(texts))
