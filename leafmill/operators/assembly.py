@@ -84,8 +84,9 @@ def review_context(tables: DataFrame, fragments: DataFrame, pages: DataFrame, mo
     """tables (doc, table_id, fragment_ids, pages) with their fragments' captions and their pages' texts, whole unless `most` is given."""
     f = tables.select("doc", "table_id", F.posexplode("fragment_ids").alias("i", "frag")).join(fragments.select("doc", F.col("frag").cast("string").alias("frag"), "caption"), ["doc", "frag"])
     f = f.groupBy("doc", "table_id").agg(F.count("*").alias("fragments"), F.array_join(in_order(["i"], F.col("caption")), "; ").alias("captions"))
-    p = page_texts(tables.select("doc", "table_id", F.col("pages").alias("at")), pages, "\n", most).select("doc", "table_id", "page_text")
-    return tables.select("doc", "table_id").join(f, ["doc", "table_id"], "left").join(p, ["doc", "table_id"], "left").na.fill(0, ["fragments"]).na.fill("", ["captions", "page_text"])
+    t = tables.select("doc", "table_id", F.col("pages").alias("at")).join(f, ["doc", "table_id"], "left")
+    # the texts come last: nothing deals them out again once there is a copy for each table
+    return page_texts(t, pages, "\n", most, "left").select("doc", "table_id", "fragments", "captions", "page_text").na.fill(0, ["fragments"]).na.fill("", ["captions", "page_text"])
 
 
 def evidence(tables: DataFrame, ocr: DataFrame, pages: DataFrame, most: int | None = None) -> DataFrame:

@@ -128,18 +128,20 @@ def keyword_topics(text: Column, most: int = 8) -> Column:
     return F.slice(once(F.coalesce(first, F.array().cast("array<string>"))), 1, most)
 
 
-def page_texts(tables: DataFrame, pages: DataFrame, separator: str, most: int | None = None) -> DataFrame:
-    """tables (doc, table_id, at: their pages) with how many of these there are, their length and their texts joined, whole unless `most` is given.
+def page_texts(tables: DataFrame, pages: DataFrame, separator: str, most: int | None = None, how: str = "inner") -> DataFrame:
+    """tables (doc, table_id, at: their pages, ..) with how many of these there are, their length and their texts joined, whole unless `most` is given.
 
-    Each distinct set of pages of a document is joined once, however many tables ask for it.
+    Each distinct set of pages of a document is joined once, however many tables ask for it. With `how` left, tables
+    without a page stay.
     """
-    t = tables.select("doc", "table_id", F.array_sort(F.array_distinct(F.filter("at", lambda p: p.isNotNull()))).alias("at"))
+    at = F.array_sort(F.array_distinct(F.filter(F.coalesce("at", F.array().cast("array<int>")), lambda p: p.isNotNull())))
+    t = tables.withColumn("at", at)
     near = t.select("doc", "at").distinct().select("doc", "at", F.explode("at").alias("page"))
     text = F.col("text") if most is None else F.substring("text", 1, most)
     j = near.join(pages.select("doc", "page", text.alias("t"), F.length("text").alias("n")), ["doc", "page"])
     texts = F.transform(F.array_sort(F.collect_list(F.struct("page", "t"))), lambda x: x["t"])
     sets = j.groupBy("doc", "at").agg(F.count("*").alias("pages"), F.sum("n").alias("chars"), F.array_join(texts, separator).alias("page_text"))
-    return t.join(sets, ["doc", "at"]).drop("at")
+    return t.join(sets, ["doc", "at"], how).drop("at")
 
 
 def window_context(tables: DataFrame, pages: DataFrame, window: int = 1, most: int | None = None) -> DataFrame:

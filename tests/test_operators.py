@@ -412,3 +412,18 @@ def test_span_text_query_equals_sql_on_empty_texts(spark, duck, tmp_path):
     spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     sql = catalog.SQL["span_text"].replace("FROM documents", f"FROM '{tmp_path}/documents.parquet/*.parquet'")
     assert same_rows(duck, catalog.QUERIES["span_text"](spark, str(tmp_path)), sql) == (0, len(texts))
+
+
+def test_review_context_deals_out_no_copies_of_texts(spark):
+    """Above the join that gives each table its page texts no shuffle stands."""
+    from leafmill.operators import assembly as Y
+
+    pages = spark.createDataFrame([(1, p, f"page {p}") for p in (1, 2, 3)], "doc int, page int, text string")
+    f = spark.createDataFrame([(1, i, f"caption {i}") for i in range(6)], "doc int, frag int, caption string")
+    t = f.select("doc", F.col("frag").alias("table_id"), F.array(F.col("frag").cast("string")).alias("fragment_ids"), F.when(F.col("frag") < 5, F.array(F.col("frag") % 3 + 1, F.col("frag") % 3 + 2)).alias("pages"))
+    d = Y.review_context(t, f, pages)
+    got = {r.table_id: (r.fragments, r.captions, r.page_text) for r in d.collect()}
+    assert got == {i: (1, f"caption {i}", ("page 1\npage 2", "page 2\npage 3", "page 3")[i % 3] if i < 5 else "") for i in range(6)}
+    plan = d._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert "page_text" not in joins[1] and "at#" in joins[0]
