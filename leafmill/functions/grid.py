@@ -10,6 +10,11 @@ from .text import UNITS, cell_text, numericish
 EMPTY = "cast(array() as array<string>)"
 
 
+def let(value: Column, use) -> Column:
+    """use(value), with value worked out once a row; spelled out in a lambda it would be once for each place and item."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def upto(n: Column) -> Column:
     """0 .. n - 1; nothing for n = 0."""
     return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
@@ -40,16 +45,18 @@ def transpose(headers: Column, rows: Column) -> Column:
 
 def collapse_headers(header_rows: Column) -> Column:
     """One header per column: its distinct consecutive texts as 'a (b / c)'."""
-    n = F.coalesce(F.array_max(F.transform(header_rows, F.size)), F.lit(0))
 
-    def one(c: Column) -> Column:
-        texts = F.filter(F.transform(column(header_rows, c), cell_text), lambda x: x != "")
+    def one(rows: Column, c: Column) -> Column:
+        texts = F.filter(column(rows, c), lambda x: x != "")
         none = F.array().cast("array<string>")
         kept = F.aggregate(texts, none, lambda a, x: F.when(F.element_at(F.concat(F.array(F.lit("")), a), -1) == x, a).otherwise(F.concat(a, F.array(x))))
-        more = F.concat(F.get(kept, F.lit(0)), F.lit(" ("), F.array_join(F.slice(kept, 2, 1000), " / "), F.lit(")"))
-        return F.when(F.size(kept) == 0, "").when(F.size(kept) == 1, F.get(kept, F.lit(0))).otherwise(more)
+        more = lambda k: F.concat(F.get(k, F.lit(0)), F.lit(" ("), F.array_join(F.slice(k, 2, 1000), " / "), F.lit(")"))
+        return let(kept, lambda k: F.when(F.size(k) == 0, "").when(F.size(k) == 1, F.get(k, F.lit(0))).otherwise(more(k)))
 
-    return F.transform(upto(n), one)
+    def all_of(rows: Column) -> Column:
+        return F.transform(upto(F.coalesce(F.array_max(F.transform(rows, F.size)), F.lit(0))), lambda c: one(rows, c))
+
+    return let(F.transform(header_rows, lambda r: F.transform(r, cell_text)), all_of)
 
 
 def share(rows: Column, test) -> Column:
@@ -132,12 +139,13 @@ def row_kinds(rows: Column, header_rows: Column) -> Column:
     note = r"^(?:[*†‡§a-z]|\([a-z]\)|\[[0-9]+\])$"
 
     def kind(r: Column, i: Column) -> Column:
-        cells = F.transform(r, cell_text)
-        tail = F.filter(F.slice(cells, 2, 100000), lambda x: x != "")
+        return F.when(i < header_rows, "header").otherwise(let(F.transform(r, cell_text), lambda cells: let(F.filter(F.slice(cells, 2, 100000), lambda x: x != ""), lambda tail: below(cells, tail))))
+
+    def below(cells: Column, tail: Column) -> Column:
         first = F.coalesce(F.get(cells, F.lit(0)), F.lit(""))
         few = F.size(F.filter(tail, lambda x: x.rlike("[0-9]"))) <= F.greatest(F.lit(1), F.floor(F.size(tail) / 3))
         group = first.rlike("[A-Za-z]") & (F.forall(tail, lambda x: x.rlike(note)) | few)
-        return F.when(i < header_rows, "header").when(~F.exists(cells, lambda x: x != ""), "empty").when(group, "group").otherwise("data")
+        return F.when(~F.exists(cells, lambda x: x != ""), "empty").when(group, "group").otherwise("data")
 
     return F.transform(rows, kind)
 
