@@ -210,26 +210,34 @@ def derive_topics(found: Column, from_sections: Column, from_summary: Column, le
 def prefilled(header_rows: Column, data_rows: Column, rows: Column, cols: Column) -> Column:
     """Header and data rows as one grid of at least the detected size."""
     all_rows = F.transform(F.concat(header_rows, data_rows), lambda r: F.transform(r, T.ocr_cell))
-    n, m = F.greatest(F.coalesce(rows, F.lit(0)), F.size(all_rows)), F.greatest(F.coalesce(cols, F.lit(0)), F.coalesce(F.array_max(F.transform(all_rows, F.size)), F.lit(0)))
-    full = F.concat(F.transform(all_rows, lambda r: G.fit(r, m)), F.array_repeat(F.array_repeat(F.lit(""), m), n - F.size(all_rows)))
-    return F.when((n > 0) & (m > 0), full).otherwise(F.array().cast("array<array<string>>"))
+
+    def full(a: Column, m: Column) -> Column:
+        n = F.greatest(F.coalesce(rows, F.lit(0)), F.size(a))
+        grid = F.concat(F.transform(a, lambda r: G.fit(r, m)), F.array_repeat(F.array_repeat(F.lit(""), m), n - F.size(a)))
+        return F.when((n > 0) & (m > 0), grid).otherwise(F.array().cast("array<array<string>>"))
+
+    widest = lambda a: F.greatest(F.coalesce(cols, F.lit(0)), F.coalesce(F.array_max(F.transform(a, F.size)), F.lit(0)))
+    return G.let(all_rows, lambda a: G.let(widest(a), lambda m: full(a, m)))
 
 
 def grid_markdown(grid: Column, header_rows: Column) -> Column:
     """A grid as a markdown table; header rows are joined by ' / '."""
-    m = F.coalesce(F.array_max(F.transform(grid, F.size)), F.lit(0))
-    full = F.transform(grid, lambda r: G.fit(r, m))
-    h = F.greatest(F.lit(1), F.least(F.greatest(header_rows, F.lit(1)), F.size(grid)))
+    wide = lambda g: F.coalesce(F.array_max(F.transform(g, F.size)), F.lit(0))
+    return G.let(grid, lambda g: G.let(wide(g), lambda m: G.let(F.transform(g, lambda r: G.fit(r, m)), lambda full: _markdown(full, m, header_rows))))
+
+
+def _markdown(full: Column, m: Column, header_rows: Column) -> Column:
+    """grid_markdown of rows of m cells each."""
+    h = F.greatest(F.lit(1), F.least(F.greatest(header_rows, F.lit(1)), F.size(full)))
     heads = F.transform(G.upto(m), lambda c: F.array_join(F.filter(F.transform(F.slice(full, F.lit(1), h), lambda r: F.trim(F.get(r, c))), lambda x: x != ""), " / "))
     line = lambda r: F.concat(F.lit("| "), F.array_join(r, " | "), F.lit(" |"))
-    return F.when(F.size(grid) > 0, F.array_join(F.concat(F.array(line(heads), line(F.array_repeat(F.lit("---"), m))), F.transform(F.slice(full, h + 1, 1 << 30), line)), "\n")).otherwise("")
+    return F.when(F.size(full) > 0, F.array_join(F.concat(F.array(line(heads), line(F.array_repeat(F.lit("---"), m))), F.transform(F.slice(full, h + 1, 1 << 30), line)), "\n")).otherwise("")
 
 
 def missing_values(before: Column, after: Column) -> Column:
     """Cell texts of a grid of which neither a cell of the other holds them nor is held in them."""
     cells = lambda g: F.array_distinct(F.filter(F.transform(F.flatten(g), T.ocr_cell), lambda x: x != ""))
-    have = cells(after)
-    return F.filter(cells(before), lambda s: ~F.exists(have, lambda o: F.contains(o, s) | F.contains(s, o)))
+    return G.let(cells(after), lambda have: F.filter(cells(before), lambda s: ~F.exists(have, lambda o: F.contains(o, s) | F.contains(s, o))))
 
 
 def reconcile_payload(rows: DataFrame) -> DataFrame:
@@ -237,7 +245,7 @@ def reconcile_payload(rows: DataFrame) -> DataFrame:
     d = rows.withColumn("_g", F.from_json("answer", "array<array<string>>"))
     lost = missing_values(F.col("grid"), F.col("_g"))
     shape = (F.size("_g") != F.size("grid")) | F.exists(F.arrays_zip(F.col("_g").alias("a"), F.col("grid").alias("b")), lambda z: ~F.size(z["a"]).eqNullSafe(F.size(z["b"])))
-    why = F.when(F.col("_g").isNull(), "unreadable").when(shape, "shape").when(F.size(lost) > 0, F.concat(F.lit("dropped:"), F.array_join(lost, ","))).otherwise("")
+    why = F.when(F.col("_g").isNull(), "unreadable").when(shape, "shape").otherwise(G.let(lost, lambda x: F.when(F.size(x) > 0, F.concat(F.lit("dropped:"), F.array_join(x, ","))).otherwise("")))
     d = d.withColumn("reason", why)
     return d.withColumn("grid", F.when(F.col("reason") == "", F.col("_g")).otherwise(F.col("grid"))).drop("_g")
 

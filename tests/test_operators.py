@@ -427,3 +427,21 @@ def test_review_context_deals_out_no_copies_of_texts(spark):
     plan = d._jdf.queryExecution().optimizedPlan().toString()
     joins = [line for line in plan.splitlines() if "Join" in line]
     assert "page_text" not in joins[1] and "at#" in joins[0]
+
+
+def test_plain_cells_are_left_as_they_are(spark):
+    cells = ["P1", "", " a", "a b", "1,5", "$x$", "a\\mu", "{a}", "a<br>b", "a\n", "é", "a\u00a0", "<empty>", "N/A", "|~[]^_`!-#%@", "x>y", None]
+    d = spark.createDataFrame([(c,) for c in cells], "c string")
+    assert [r for r in d.select(T.cell_text(F.col("c")), T.ocr_cell(F.col("c"))).collect()] == [r for r in d.select(T._cell_text(F.col("c")), F.when(F.lower(T.squeeze(F.col("c"))).isin("<empty>", "[empty]", "(empty)", "empty", "n/a"), "").otherwise(T.squeeze(F.col("c")))).collect()]
+
+
+def test_repeated_parts_of_grid_expressions_are_worked_out_once(spark):
+    """A part that a lambda spells out is worked out for each place; bound by let it stands in the plan once."""
+    from leafmill.functions import grid as G
+    from leafmill.operators import assembly as Y
+
+    d = spark.createDataFrame([([["a", "b"]], "[]")], "g array<array<string>>, answer string")
+    g = F.col("g")
+    for c in (Y.prefilled(g, g, F.lit(4), F.lit(3)), Y.grid_markdown(F.concat(g, g), F.lit(2)), G.collapse_headers(F.concat(g, g)), G.row_kinds(g, F.lit(1)), Y.missing_values(g, F.concat(g, g))):
+        plan = d.select(c.alias("c"))._jdf.queryExecution().analyzed().toString()
+        assert plan.count("concat(g#") <= 1 and plan.count("(?U)") <= 4, plan
