@@ -115,9 +115,8 @@ def rectify_validate(spark, sf):
 
 
 def rectify_apply(spark, sf):
-    d = R.apply_repairs(_repairs(spark, sf))
-    back = R.restore(d).select("table_id", F.flatten("rows").alias("was"))
-    return d.join(back, "table_id").select("table_id", "rectified", F.size("rows").alias("rows"), F.col("q.unstable").alias("unstable"), F.size("was").alias("cells_before"))
+    d = R.restore(R.apply_repairs(_repairs(spark, sf)).withColumn("repaired", F.size("rows")))
+    return d.select("table_id", "rectified", F.col("repaired").alias("rows"), F.col("q.unstable").alias("unstable"), F.size(F.flatten("rows")).alias("cells_before"))
 
 
 PER_MODE = "list_filter(modes, lambda m: {})"
