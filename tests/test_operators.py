@@ -445,3 +445,13 @@ def test_repeated_parts_of_grid_expressions_are_worked_out_once(spark):
     for c in (Y.prefilled(g, g, F.lit(4), F.lit(3)), Y.grid_markdown(F.concat(g, g), F.lit(2)), G.collapse_headers(F.concat(g, g)), G.row_kinds(g, F.lit(1)), Y.missing_values(g, F.concat(g, g))):
         plan = d.select(c.alias("c"))._jdf.queryExecution().analyzed().toString()
         assert plan.count("concat(g#") <= 1 and plan.count("(?U)") <= 4, plan
+
+
+def test_block_trees_are_parsed_once_and_repairs_are_not_joined(spark):
+    from conftest import DATA
+
+    from leafmill.plans import catalog
+
+    trees = catalog.QUERIES["block_tree_tables"](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_block_tree" not in trees and "_html_grid" not in trees
+    assert "Join" not in catalog.QUERIES["rectify_apply"](spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
