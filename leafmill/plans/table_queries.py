@@ -233,7 +233,7 @@ def block_tree_tables(spark, sf):
     cap = F.struct(F.concat(F.lit("/page/"), (F.col("page") - 1).cast("string"), F.lit("/Caption/"), F.col("frag").cast("string")).alias("id"), F.lit("Caption").alias("block_type"), F.array(F.lit(0.0), (F.col("frag") % 500).cast("double") - 1, F.lit(9.0), F.lit(9.0)).alias("bbox"), F.concat(F.lit("<p>"), F.col("caption"), F.lit("</p>")).alias("html"))
     tree = F.to_json(F.struct(F.array_sort(F.collect_list(F.struct("frag", F.struct(F.array(node, cap).alias("children")).alias("group")))).alias("children")))
     d = f.groupBy("doc").agg(tree.alias("payload")).select("doc", F.explode(parse.block_tree("payload")).alias("b")).select("doc", "b.*")
-    t = settle(B.raw_tables(settle(d)))  # both are read more than once
+    t = B.raw_tables(settle(d))  # the blocks are read several times
     frags = B.chains(B.fragments_of(t))
     keys = frags.groupBy("doc").agg(F.countDistinct("group_key").alias("groups"))
     return t.groupBy("doc").agg(F.count("*").alias("tables"), F.count("cap_id").alias("captioned"), F.max("page").alias("last_page"), F.sum(F.get(F.get("data_rows", F.lit(0)), F.lit(0)).cast("long")).alias("cell_sum")).join(keys, "doc")
