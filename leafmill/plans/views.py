@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..functions.grid import let
+
 PAGES_OF_A_DOC = 20
 
 
@@ -24,14 +26,21 @@ V_PAGE = f"v_page AS (SELECT doc_id // {PAGES_OF_A_DOC} AS doc, (doc_id % {PAGES
 HEADERS = ("Part", "Quantity (kg)", "Price (USD)", "Discount")
 
 
+# Fixed value: what orders the rows of a table.
+ROW_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate", "l_quantity")
+
+
+def _cells(of) -> Column:
+    """Cells of a table row from its lineitem columns."""
+    text = lambda c: of(c).cast("decimal(18,2)").cast("string")
+    cells = F.array(F.concat(F.lit("P"), of("l_partkey").cast("string")), text("l_quantity"), F.when(of("l_partkey") % 5 == 0, "").otherwise(text("l_extendedprice")), text("l_discount"))
+    return F.when(of("l_suppkey") % 9 == 0, F.slice(cells, 1, 3)).otherwise(cells)
+
+
 def v_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem as table rows: one table an order; blanks, ragged rows and repeated rows by arithmetic on keys."""
     l = table(spark, sf_dir, "lineitem")
-    order = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate", "l_quantity"]
-    text = lambda c: F.col(c).cast("decimal(18,2)").cast("string")
-    cells = F.array(F.concat(F.lit("P"), F.col("l_partkey").cast("string")), text("l_quantity"), F.when(F.col("l_partkey") % 5 == 0, "").otherwise(text("l_extendedprice")), text("l_discount"))
-    cells = F.when(F.col("l_suppkey") % 9 == 0, F.slice(cells, 1, 3)).otherwise(cells)
-    l = l.select(F.col("l_orderkey").alias("table_id"), (F.col("l_orderkey") % 7 + 1).cast("int").alias("page"), F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*order)).alias("rn"), cells.alias("cells"))
+    l = l.select(F.col("l_orderkey").alias("table_id"), (F.col("l_orderkey") % 7 + 1).cast("int").alias("page"), F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*ROW_ORDER)).alias("rn"), _cells(F.col).alias("cells"))
     # the first row of a table stands there twice
     return l.select("table_id", "page", F.explode(F.when(F.col("rn") == 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array("rn"))).alias("idx"), "cells")
 
@@ -45,10 +54,12 @@ v_row AS (SELECT table_id, page, rn AS idx, cells FROM v_line UNION ALL SELECT t
 
 
 def v_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows nested by table."""
-    r = v_row(spark, sf_dir)
-    rows = F.transform(F.array_sort(F.collect_list(F.struct("idx", "cells"))), lambda x: x["cells"])
-    return r.groupBy("table_id", "page").agg(rows.alias("rows")).withColumn("headers", F.array(*[F.lit(h) for h in HEADERS]))
+    """Rows nested by table. The rows of v_row, gathered as numbers in one shuffle without its window: cells are written behind it."""
+    l = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "table_id")
+    lines = F.array_sort(F.collect_list(F.struct(*ROW_ORDER, "l_discount")))
+    rows = let(lines, lambda x: F.transform(F.concat(F.slice(x, 1, 1), x), lambda r: _cells(lambda c: r[c])))
+    d = l.groupBy("table_id", (F.col("table_id") % 7 + 1).cast("int").alias("page")).agg(rows.alias("rows"))
+    return d.withColumn("headers", F.array(*[F.lit(h) for h in HEADERS]))
 
 
 V_GRID = V_ROW + f", v_grid AS (SELECT table_id, page, list(cells ORDER BY idx) AS rows, {list(HEADERS)} AS headers FROM v_row GROUP BY table_id, page)"
