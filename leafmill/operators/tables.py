@@ -119,9 +119,10 @@ def topology(grids: DataFrame) -> DataFrame:
 
 def escalation(tables: DataFrame, most: int) -> DataFrame:
     """tables (doc, ord, q): the first `most` failing ones of a document may be extracted again."""
-    d = tables.withColumn("fails", G.fails_quality(F.col("q")))
-    pick = d.where("fails").withColumn("_r", F.row_number().over(Window.partitionBy("doc").orderBy("ord"))).where(F.col("_r") <= most).select("doc", "ord", F.lit(True).alias("escalate"))
-    return d.join(pick, ["doc", "ord"], "left").na.fill(False, ["escalate"])
+    judged = G.let(F.col("q"), lambda q: F.struct(q.alias("q"), F.coalesce(G.fails_quality(q), F.lit(False)).alias("_first"), G.fails_quality(q).alias("fails")))  # each grid is read once
+    d = tables.withColumn("_j", judged).select(*[c for c in tables.columns if c != "q"], "_j.*")
+    pick = F.col("_first") & (F.row_number().over(Window.partitionBy("doc", "_first").orderBy("ord")) <= most) & F.col("doc").isNotNull() & F.col("ord").isNotNull()
+    return d.withColumn("escalate", pick).drop("_first")
 
 
 def fallback(candidates: DataFrame) -> DataFrame:

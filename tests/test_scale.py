@@ -60,3 +60,24 @@ def test_match_is_greedy_over_all_candidates(spark):
         assert {tuple(x) for x in M.match(l, r, least).collect()} == want and want
     plan = M.match(l, r)._jdf.queryExecution().optimizedPlan().toString()
     assert "Join" not in plan  # no pairs below the walk
+
+
+def test_escalation_reads_each_grid_once(spark):
+    from conftest import DATA
+
+    from leafmill.plans import table_queries as Q
+
+    assert Q.escalation_budget(spark, DATA)._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+
+
+def test_normal_dois_skip_the_searches(spark):
+    """Plain DOIs and all other texts come out as the long way gives them; texts with spaces between words are no DOIs."""
+    from leafmill.functions import text as T
+
+    texts = ["10.1000/AB1", "10.1000/ab.,", "doi: 10.1000/X", " 10.1000/a ", "(10.1000/a)", "10.1000/a b", "10.1000/", "10.1000/É", "10.1000/a\n", "https://doi.org/10.1/x", "see 10.1000/q and 10.2000/r", None, ""]
+    d = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    assert d.where(~T.normalize_doi(F.col("t")).eqNullSafe(T._normalize_doi(F.col("t")))).count() == 0
+    plan = d.select(T.doi_candidates(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_url_decode") <= 3 and plan.count("(?U)^") <= 8
+    got = {r.i: r.d for r in d.select("i", T.doi_candidates(F.col("t")).alias("d")).collect()}
+    assert got[2] == ["10.1000/x"] and got[5] == ["10.1000/a"] and got[10] == ["10.1000/q", "10.2000/r"] and got[11] == []
