@@ -81,3 +81,29 @@ def test_normal_dois_skip_the_searches(spark):
     assert plan.count("try_url_decode") <= 3 and plan.count("(?U)^") <= 8
     got = {r.i: r.d for r in d.select("i", T.doi_candidates(F.col("t")).alias("d")).collect()}
     assert got[2] == ["10.1000/x"] and got[5] == ["10.1000/a"] and got[10] == ["10.1000/q", "10.2000/r"] and got[11] == []
+
+
+def test_evidence_of_equal_tags_is_planned_once():
+    from leafmill.functions import parse
+
+    rng = random.Random(5)
+    bits = ["<table>", "<tr>", "</tr>", "<td>", "</td>", "<td colspan=2>", "<th rowspan='2'>", "<td class=\"a>b\">", "<br/>", "<b>", "<!-- x -->", "<!-- <td>a><b -->", "a b", " 1.5", "x &lt; y", "<", ">", "'", '"', "", "\0", " "]
+    for _ in range(4000):
+        html = "".join(rng.choices(bits, k=rng.randint(0, 14)))
+        assert parse.evidence_of(html) == parse._evidence_of(html), html
+    parse._plans.clear()
+    for i in range(50):
+        parse.evidence_of(f"<table><tr><td>{i}</td><td colspan=2>b{i} c</td></tr></table>")
+    assert len(parse._plans) == 1
+
+
+def test_rows_and_grids_are_gathered_without_a_window(spark):
+    from conftest import DATA
+
+    from leafmill.plans import views as V
+
+    rows, grids = V.v_row(spark, DATA), V.v_grid(spark, DATA)
+    for d in (rows, grids):
+        assert "Window" not in d._jdf.queryExecution().optimizedPlan().toString()
+    nested = rows.groupBy("table_id").agg(F.array_sort(F.collect_list(F.struct("idx", "cells")))["cells"].alias("want"))
+    assert grids.join(nested, "table_id").where("rows = want").count() == grids.count() > 0
