@@ -107,3 +107,39 @@ def test_rows_and_grids_are_gathered_without_a_window(spark):
         assert "Window" not in d._jdf.queryExecution().optimizedPlan().toString()
     nested = rows.groupBy("table_id").agg(F.array_sort(F.collect_list(F.struct("idx", "cells")))["cells"].alias("want"))
     assert grids.join(nested, "table_id").where("rows = want").count() == grids.count() > 0
+
+
+def test_short_ratios_without_a_sequence_matcher(monkeypatch):
+    from difflib import SequenceMatcher
+
+    from leafmill.functions import similarity as S
+
+    rng = random.Random(11)
+    text = lambda n: "".join(rng.choices("ab |1.", k=n))
+    pairs = [(text(rng.randint(0, 260)), text(rng.randint(0, 260))) for _ in range(150)]
+    pairs += [(a, a[: len(a) // 2] + text(3) + a[len(a) // 2 :]) for a, _ in pairs]
+    want = [SequenceMatcher(None, a, b).ratio() for a, b in pairs]
+    asked = []
+    monkeypatch.setattr(S, "SequenceMatcher", lambda *a: asked.append(a) or SequenceMatcher(*a))
+    assert [S.sequence_ratio(a, b) for a, b in pairs] == want
+    assert asked and all(len(a[2]) >= 200 for a in asked)
+
+
+def test_grids_meet_whole_and_are_patched_as_row_by_row(spark):
+    rng = random.Random(13)
+    cell = lambda: rng.choice(["", "", "abc", "abd µ", "±1", "12 µm", "12", "a<br>b", "a b", "ab", None])
+    l = [(d, 1, i, ["h", cell()], [[cell() for _ in range(rng.randint(0, 4))] for _ in range(rng.randint(0, 3))]) for d in range(4) for i in range(60)]
+    r = [(d, p, i, h, [[cell() if rng.random() < 0.4 else c for c in row] for row in rows]) for d, p, i, h, rows in l]
+    left, right = spark.createDataFrame(l, GRIDS), spark.createDataFrame(r, GRIDS)
+    pairs = left.select("doc", "page", F.col("ord").alias("l"), F.col("ord").alias("r"))
+    got = M.patch_grids(left, right, pairs)
+    sig = lambda c: "".join(x for x in " ".join(y for y in c if y is not None).lower() if x.isascii() and x.isalnum())
+    from difflib import SequenceMatcher
+
+    cells = [(d, p, i, n - 1, c, n == 0 or SequenceMatcher(None, sig(x), sig(y)).ratio() >= 0.9, a, b) for (d, p, i, h, rows), (*_, h2, rows2) in zip(l, r) for n, (x, y) in enumerate(zip([h, *rows], [h2, *rows2])) for c, (a, b) in enumerate(zip(x, y))]
+    want = M.patch_cells(spark.createDataFrame(cells, "doc int, page int, ord long, row int, col int, fill boolean, a string, b string")).select("doc", "page", "ord", "row", "col", "text", "reason")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    found = sorted(tuple(x) for x in got.collect() if x.reason)
+    assert sorted(map(tuple, M.patch_grids(left, right, pairs, changed=True).collect())) == found and {x[-1] for x in found} == {"empty_fill", "symbol_patch", "format_patch"}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate posexplode") < plan.index("Join") and plan.count("Join") == 2 and plan.rindex("Generate") < plan.index("Join")
