@@ -26,15 +26,17 @@ def metrics(gold: DataFrame, pred: DataFrame) -> DataFrame:
     """One row: page-level detection, shape matches, cell accuracy, share of gold numbers that parse in the prediction."""
     pages = lambda d, c: d.where("page > 0").select("doc", "page").distinct().withColumn(c, F.lit(1))
     both = pages(gold, "g").join(pages(pred, "p"), ["doc", "page"], "full_outer").agg(F.count_if(F.col("g").isNotNull() & F.col("p").isNotNull()).alias("tp"), F.count_if(F.col("g").isNull()).alias("fp"), F.count_if(F.col("p").isNull()).alias("fn"))
-    m = pairs(gold, pred)
     norm = lambda c: F.lower(T.squeeze(c))
+    # what grids are joined for: the headers' number, and rows as one text of normal cells, which hold no tabs
+    slim = lambda d: d.select("doc", "page", "table_id", F.size("headers").alias("headers"), F.transform("rows", lambda r: F.array_join(F.transform(r, norm), "\t")).alias("rows"))
+    m = pairs(slim(gold), slim(pred))
     rows = F.arrays_zip(F.slice("gr", F.lit(1), F.least(F.size("gr"), F.size("pr"))).alias("g"), F.slice("pr", F.lit(1), F.least(F.size("gr"), F.size("pr"))).alias("p"))
-    n = F.least(F.size("gh"), F.size("ph"))
-    cells = m.select(n.alias("n"), F.explode(rows).alias("r")).where("n > 0").select(F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("c"), "r")
-    cells = cells.select(norm(F.get(F.col("r")["g"], F.col("c"))).alias("g"), norm(F.get(F.col("r")["p"], F.col("c"))).alias("p"))
+    split = lambda c: F.split(T.blank(F.col("r")[c]), "\t", -1)
+    cells = m.select(F.least("gh", "ph").alias("n"), F.explode(rows).alias("r")).where("n > 0").select(F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("c"), split("g").alias("g"), split("p").alias("p"))
+    cells = cells.select(T.blank(F.get("g", F.col("c"))).alias("g"), T.blank(F.get("p", F.col("c"))).alias("p"))
     is_num = T.number_in(F.col("g")).isNotNull()
     c = cells.agg(F.count("*").alias("cells"), F.count_if(F.col("g") == F.col("p")).alias("same"), F.count_if(is_num).alias("numbers"), F.count_if(is_num & T.number_in(F.col("p")).isNotNull()).alias("parsed"))
-    s = m.agg(F.count("*").alias("pairs"), F.count_if(F.size("gr") == F.size("pr")).alias("rows_ok"), F.count_if(F.size("gh") == F.size("ph")).alias("cols_ok"))
+    s = m.agg(F.count("*").alias("pairs"), F.count_if(F.size("gr") == F.size("pr")).alias("rows_ok"), F.count_if(F.col("gh") == F.col("ph")).alias("cols_ok"))
     one = F.lit(1)
     j = both.withColumn("_k", one)
     for d in (c, s, gold.agg(F.count("*").alias("gold_tables")), pred.agg(F.count("*").alias("pred_tables"))):

@@ -143,3 +143,17 @@ def test_grids_meet_whole_and_are_patched_as_row_by_row(spark):
     assert sorted(map(tuple, M.patch_grids(left, right, pairs, changed=True).collect())) == found and {x[-1] for x in found} == {"empty_fill", "symbol_patch", "format_patch"}
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Generate posexplode") < plan.index("Join") and plan.count("Join") == 2 and plan.rindex("Generate") < plan.index("Join")
+
+
+def test_evaluation_joins_slim_grids(spark):
+    """Blank, missing and odd cells count as they did; headers meet as numbers."""
+    from leafmill.operators import evaluate as E
+
+    s = "doc int, page int, table_id string, headers array<string>, rows array<array<string>>"
+    gold = spark.createDataFrame([(1, 1, "a", ["s", "v", "w"], [["A", "1\t2", None], [], ["", "x 3"], None]), (1, 2, "a", ["s"], []), (1, 0, "z", ["s"], [])], s)
+    pred = spark.createDataFrame([(1, 1, "a", ["s", "v", "w"], [[" a ", "1  2", ""], [""], ["4"], ["q"]]), (2, 1, "a", ["s"], [])], s)
+    m = E.metrics(gold, pred).first()
+    assert (m.gold_tables, m.pred_tables, m.matched_pages, m.precision, m.recall, m.matched_tables) == (3, 2, 1, 0.5, 0.5, 1)
+    # twelve cells: those of the first two rows and two of the last are the same, one of two numbers is read
+    assert (m.cell_accuracy, m.numeric_parse, m.numeric_cells, m.row_count_match, m.column_count_match) == (9 / 12, 0.5, 2, 1.0, 1.0)
+    assert "size(gh" not in E.metrics(gold, pred)._jdf.queryExecution().optimizedPlan().toString()
